@@ -105,3 +105,9 @@ def dim_zone(zones: DataFrame, effective_col: str = "_transformed_at") -> DataFr
         F.col(effective_col).alias("effective_from"),
         F.md5(F.col("location_id").cast("string")).alias("zone_sk"),
     )
+
+
+def date_spine_for(df: DataFrame, col: str) -> DataFrame:
+    """Calendar covering the dates of ``df[col]`` (first to last), one row per day."""
+    b = df.agg(F.min(F.col(col).cast("date")).alias("lo"), F.max(F.col(col).cast("date")).alias("hi"))
+    return b.select(F.explode(F.sequence("lo", "hi", F.expr("interval 1 day"))).alias("date_day"))

@@ -168,3 +168,23 @@ def bronze_from_landing(
     casted = cast_source_schema(raw)
     aligned, _ = align_schema(casted, target)
     return add_ingestion_metadata(aligned, run_id, source_url, source_sha256, ingested_at, schema_version)
+
+
+def month_range(df: DataFrame, col: str = "pickup_month", extra_months: int = 0) -> DataFrame:
+    """All months from the first to the last month present in ``df`` (plus ``extra_months``).
+
+    The bounds are one global aggregate (partial per task); the sequence is exploded
+    from that single row, so nothing reaches the driver.
+    """
+    b = df.agg(F.min(col).alias("lo"), F.max(col).alias("hi"))
+    return b.select(
+        F.explode(F.sequence(F.col("lo"), F.add_months(F.col("hi"), extra_months), F.expr("interval 1 month"))).alias("month")
+    )
+
+
+def route_by_file_month(df: DataFrame, file_month: Column, ts_col: str = "tpep_pickup_datetime") -> DataFrame:
+    """Route each row against the month of the file it arrived in (a per-row month)."""
+    inside = month_of(F.col(ts_col)) == file_month
+    return df.withColumn("_file_month", file_month).withColumn(
+        "_route", F.when(inside, "in_month").otherwise("late_or_early")
+    )

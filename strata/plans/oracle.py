@@ -21,19 +21,26 @@ def sk(*cols: str) -> str:
     return f"md5(concat_ws('-', {parts}))"
 
 
-def avg_dec(expr: str, scale_in: int = 2) -> str:
-    """Exact mean of a DECIMAL(p, scale_in) column as DECIMAL(p+4, scale_in+4), HALF_UP."""
+def avg_dec(expr: str, scale_in: int = 2, prec_in: int = 10) -> str:
+    """Exact mean of a DECIMAL(prec_in, scale_in) column as Spark types it:
+    DECIMAL(prec_in+4, scale_in+4), rounded HALF_UP (away from zero on ties)."""
     s = f"SUM(CAST(({expr}) * {10 ** scale_in} AS HUGEINT))"
     n = f"COUNT({expr})"
     q = (
         f"(CASE WHEN {s} >= 0 THEN ({s} * 20000 + {n}) // (2 * {n}) "
         f"ELSE -((-{s} * 20000 + {n}) // (2 * {n})) END)"
     )
-    return f"(CASE WHEN {n} = 0 THEN NULL ELSE CAST(CAST({q} AS DOUBLE) / 1000000 AS DECIMAL({10 + 4},{scale_in + 4})) END)"
+    so = scale_in + 4
+    unit = "0." + "0" * (so - 1) + "1"
+    return (
+        f"(CASE WHEN {n} = 0 THEN NULL ELSE CAST(CAST({q} AS DECIMAL(38,0)) * CAST({unit} AS DECIMAL({so + 1},{so})) "
+        f"AS DECIMAL({prec_in + 4},{so})) END)"
+    )
 
 
-def dsum(expr: str) -> str:
-    return f"CAST(SUM({expr}) AS DECIMAL(20,2))"
+def dsum(expr: str, prec: int = 20) -> str:
+    """SUM of DECIMAL(prec-10, s) as Spark types it: DECIMAL(prec, s) (s = 2 by default)."""
+    return f"CAST(SUM({expr}) AS DECIMAL({prec},2))"
 
 
 def ts(value: str) -> str:
