@@ -251,6 +251,7 @@ def gate_verdict(results: DataFrame, group_by: list[str] | None = None, suite_na
         F.count_if(F.col("success")).alias("passed"),
         (F.count_if(F.col("success")).cast("double") / F.count("*")).alias("pass_rate"),
         F.array_sort(F.collect_list(failed_name)).alias("failed_expectations"),
+        F.array_sort(F.collect_list(F.when(~F.col("success"), F.col("kwargs")))).alias("failed_kwargs"),
         F.bool_and(F.col("success")).alias("success"),
     )
 
@@ -261,7 +262,9 @@ def route(df: DataFrame, verdict: DataFrame, group_by: list[str]) -> tuple[DataF
     The verdict has one row per group (e.g. per month), so it is broadcast after a
     size check; rows of groups without a verdict are quarantined.
     """
-    v = bounded_broadcast(verdict.select(*group_by, F.col("success").alias("__gate_ok"), "failed_expectations"))
+    v = bounded_broadcast(
+        verdict.select(*group_by, F.col("success").alias("__gate_ok"), "failed_expectations"), materialize=True
+    )
     j = df.join(v, group_by, "left")
     ok = F.coalesce(F.col("__gate_ok"), F.lit(False))
     passed = j.filter(ok).drop("__gate_ok", "failed_expectations")

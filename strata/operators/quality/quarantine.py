@@ -26,26 +26,27 @@ def quarantine_month(
 ) -> DataFrame:
     """Every row of the groups (months) whose gate failed, with reason, kwargs and run id.
 
-    ``verdict`` comes from :func:`gate_verdict` joined with the failed results; it has
-    one row per group, so it is broadcast after a size check.
+    ``verdict`` comes from :func:`gate_verdict`; it has one row per group, so it is
+    broadcast after a size check.
     """
     failed = verdict.filter(~F.col("success")).select(
         *group_by,
         F.array_join(F.col("failed_expectations"), ";").alias("_failure_reason"),
-        F.col("failed_kwargs").alias("_expectation_kwargs") if "failed_kwargs" in verdict.columns
-        else F.to_json(F.col("failed_expectations")).alias("_expectation_kwargs"),
+        F.to_json(F.col("failed_kwargs")).alias("_expectation_kwargs"),
     )
-    out = df.join(bounded_broadcast(failed), group_by, "inner")
+    out = df.join(bounded_broadcast(failed, materialize=True), group_by, "inner")
     return out.withColumn("_quarantine_run_id", F.lit(run_id))
 
 
 def _row_rule(e: Expectation):
-    """(violation condition on one row, rule name) for element-level expectations."""
+    """Violation condition on one row for element-level expectations (None otherwise)."""
     k = e.kwargs
     if e.type == PAIR_GT:
         a, b = F.col(k["column_A"]), F.col(k["column_B"])
         bad = (a < b) if k.get("or_equal") else (a <= b)
         return a.isNotNull() & b.isNotNull() & bad
+    if e.type not in (NOT_NULL, BETWEEN, LENGTH_EQ, IN_SET):
+        return None
     c = F.col(e.column)
     if e.type == NOT_NULL:
         return c.isNull()

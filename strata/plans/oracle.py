@@ -266,4 +266,126 @@ CHAIN_GOLD = CHAIN_FCT + [ZONE, DAILY, ZONE_REV, PAYMENT]
 
 
 def with_(ctes: list[str], body: str) -> str:
-    return "WITH " + ",\n".join(ctes) + "\n" + body
+    """``WITH ctes body``; a body that starts with more CTEs continues the list."""
+    sep = "\n" if body.lstrip().upper().startswith("SELECT") else ",\n"
+    return "WITH " + ",\n".join(ctes) + sep + body
+
+
+# -- expectation suites and structural tests, recomputed in SQL ------------------
+
+
+def _lit(v) -> str:
+    if isinstance(v, str):
+        return "'" + v.replace("'", "''") + "'"
+    return repr(v)
+
+
+def _between_sql(c: str, lo, hi) -> str:
+    parts = []
+    if lo is not None:
+        parts.append(f"{c} >= {_lit(lo)}")
+    if hi is not None:
+        parts.append(f"{c} <= {_lit(hi)}")
+    return "(" + " AND ".join(parts) + ")" if parts else "TRUE"
+
+
+def _range_ok_sql(obs: str, lo, hi) -> str:
+    return f"coalesce({obs} IS NOT NULL AND {_between_sql(obs, lo, hi)}, false)"
+
+
+def suite_sql(suite, table: str, group: str, decimal_cols: set[str]) -> str:
+    """UNION ALL of one grouped SELECT per expectation (mirrors evaluate_suite)."""
+    from strata.operators.quality import expectations as X
+
+    selects = []
+    for i, e in enumerate(suite):
+        k = e.kwargs
+        n = "COUNT(*)"
+        missing = unexpected = "CAST(NULL AS BIGINT)"
+        observed = "CAST(NULL AS DOUBLE)"
+        if e.type == X.ROW_COUNT:
+            observed = f"CAST({n} AS DOUBLE)"
+            success = _range_ok_sql(n, k.get("min_value"), k.get("max_value"))
+        elif e.type == X.MEAN:
+            c = e.column
+            observed = f"CAST({avg_dec(c)} AS DOUBLE)" if c in decimal_cols else f"avg({c})"
+            success = _range_ok_sql(observed, k.get("min_value"), k.get("max_value"))
+        elif e.type == X.QUANTILE:
+            qs = k["quantile_ranges"]["quantiles"]
+            ranges = k["quantile_ranges"]["value_ranges"]
+            obs = [f"CAST(quantile_disc({e.column}, {q}) AS DOUBLE)" for q in qs]
+            observed = obs[0]
+            success = " AND ".join(_range_ok_sql(o, lo, hi) for o, (lo, hi) in zip(obs, ranges))
+        elif e.type == X.UNIQUE_PROPORTION:
+            c = e.column
+            observed = f"CAST(COUNT(DISTINCT {c}) AS DOUBLE) / NULLIF(COUNT({c}), 0)"
+            success = _range_ok_sql(observed, k.get("min_value"), k.get("max_value"))
+            missing = f"{n} - COUNT({c})"
+        else:
+            if e.type == X.PAIR_GT:
+                a, b = k["column_A"], k["column_B"]
+                is_missing = f"({a} IS NULL OR {b} IS NULL)"
+                bad = f"({a} < {b})" if k.get("or_equal") else f"({a} <= {b})"
+            else:
+                c = e.column
+                is_missing = f"({c} IS NULL)"
+                if e.type == X.NOT_NULL:
+                    bad = f"({c} IS NULL)"
+                elif e.type == X.BETWEEN:
+                    bad = f"(NOT {_between_sql(c, k.get('min_value'), k.get('max_value'))})"
+                elif e.type == X.LENGTH_EQ:
+                    bad = f"(length({c}) <> {k['value']})"
+                elif e.type == X.IN_SET:
+                    bad = f"({c} NOT IN ({', '.join(_lit(v) for v in k['value_set'])}))"
+            if e.type == X.NOT_NULL:
+                missing = "CAST(0 AS BIGINT)"
+                unexpected = f"COUNT(*) FILTER (WHERE {bad})"
+                denom = n
+            else:
+                missing = f"COUNT(*) FILTER (WHERE {is_missing})"
+                unexpected = f"COUNT(*) FILTER (WHERE NOT {is_missing} AND {bad})"
+                denom = f"({n} - {missing})"
+            observed = f"CAST({unexpected} AS DOUBLE) / NULLIF({denom}, 0)"
+            mostly = float(k.get("mostly", 1.0))
+            success = f"({observed} IS NULL OR {observed} <= CAST({repr(1.0 - mostly)} AS DOUBLE))"
+        pct = f"CAST({unexpected} AS DOUBLE) / NULLIF({n} - coalesce({missing}, 0), 0) * 100.0"
+        col = _lit(e.column) if e.column else "CAST(NULL AS VARCHAR)"
+        selects.append(
+            f"SELECT {group}, CAST({i} AS INTEGER) AS expectation_id, {_lit(e.type)} AS expectation_type, {col} AS \"column\", "
+            f"{_lit(e.kwargs_json())} AS kwargs, {n} AS element_count, CAST({missing} AS BIGINT) AS missing_count, "
+            f"CAST({unexpected} AS BIGINT) AS unexpected_count, {pct} AS unexpected_percent, "
+            f"CAST({observed} AS DOUBLE) AS observed_value, {success} AS success FROM {table} GROUP BY {group}"
+        )
+    return "\nUNION ALL\n".join(selects)
+
+
+def verdict_sql(results: str, group: str, suite_name: str) -> str:
+    failed = "expectation_type || ':' || coalesce(\"column\", 'table')"
+    return f"""SELECT {group}, {_lit(suite_name)} AS suite_name, COUNT(*) AS evaluated,
+  COUNT(*) FILTER (WHERE success) AS passed,
+  CAST(COUNT(*) FILTER (WHERE success) AS DOUBLE) / COUNT(*) AS pass_rate,
+  coalesce(list_sort(list({failed}) FILTER (WHERE NOT success)), CAST([] AS VARCHAR[])) AS failed_expectations,
+  coalesce(list_sort(list(kwargs) FILTER (WHERE NOT success)), CAST([] AS VARCHAR[])) AS failed_kwargs,
+  bool_and(success) AS success
+FROM {results} GROUP BY {group}"""
+
+
+def structural_sql(model: str, table: str, tests, dims: dict[str, str] | None = None) -> list[str]:
+    out = []
+    for t in tests:
+        c = t.column
+        head = f"SELECT {_lit(model)} AS model, {_lit(t.kind)} AS test, {_lit(c)} AS \"column\", "
+        if t.kind == "not_null":
+            out.append(head + f"COUNT(*) FILTER (WHERE {c} IS NULL) AS failures FROM {table}")
+        elif t.kind == "accepted_values":
+            vals = ", ".join(_lit(v) for v in t.args["values"])
+            out.append(head + f"COUNT(*) FILTER (WHERE {c} IS NOT NULL AND {c} NOT IN ({vals})) AS failures FROM {table}")
+        elif t.kind == "accepted_range":
+            rng = _between_sql(c, t.args.get("min_value"), t.args.get("max_value"))
+            out.append(head + f"COUNT(*) FILTER (WHERE {c} IS NOT NULL AND NOT {rng}) AS failures FROM {table}")
+        elif t.kind == "unique":
+            out.append(head + f"COUNT(*) AS failures FROM (SELECT {c} FROM {table} WHERE {c} IS NOT NULL GROUP BY {c} HAVING COUNT(*) > 1)")
+        elif t.kind == "relationships":
+            d = dims[t.args["to"]]
+            out.append(head + f"COUNT(*) AS failures FROM {table} WHERE {c} IS NOT NULL AND {c} NOT IN (SELECT {t.args['field']} FROM {d})")
+    return out

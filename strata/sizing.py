@@ -19,5 +19,16 @@ def fits(df: DataFrame, max_rows: int) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = DIM_BROADCAST_ROWS) -> DataFrame:
+def bounded_broadcast(df: DataFrame, max_rows: int = DIM_BROADCAST_ROWS, materialize: bool = False) -> DataFrame:
+    """Broadcast ``df`` if it has at most ``max_rows`` rows.
+
+    With ``materialize`` the frame is first written to the shared checkpoint folder
+    (``spark.checkpoint.dir``), so an expensive lineage (e.g. a gate verdict computed
+    from a full scan) runs once for both the size check and the join.
+    """
+    if materialize:
+        from strata.session import ensure_checkpoint_dir
+
+        ensure_checkpoint_dir(df.sparkSession)
+        df = df.checkpoint(eager=True)
     return F.broadcast(df) if fits(df, max_rows) else df
