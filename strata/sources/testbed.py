@@ -26,7 +26,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def trips_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The landed-file schema (19 columns) built from the order tables."""
-    li = table(spark, sf_dir, "lineitem").select(
+    return trips_from_lineitem(spark, sf_dir, table(spark, sf_dir, "lineitem"))
+
+
+def trips_from_lineitem(spark: SparkSession, sf_dir: str, lineitem: DataFrame) -> DataFrame:
+    """Trip rows for a (possibly streaming) line-item frame, joined to the static tables."""
+    li = lineitem.select(
         "l_orderkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
         "l_discount", "l_tax", "l_returnflag", "l_shipdate",
     )

@@ -24,9 +24,12 @@ def ingest_available_now(
     transform: Callable[[DataFrame], DataFrame] | None = None,
     max_files_per_trigger: int | None = None,
     fmt: str = "parquet",
+    base_path: str | None = None,
 ) -> int:
     """Run one available-now pass; returns the number of micro-batches processed."""
     reader = spark.readStream.schema(schema).format(fmt)
+    if base_path:
+        reader = reader.option("basePath", base_path)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.load(source_path)
