@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.operators.quality.expectations import _between
-from strata.sizing import bounded_broadcast
+from strata.sizing import bounded_broadcast, fits
 
 RESULT_SCHEMA = T.StructType(
     [
@@ -86,9 +86,24 @@ FCT_ZONE_REVENUE_TESTS = [
 FCT_TOKEN_AUDIT_TESTS = [not_null("audit_id"), unique("audit_id"), not_null("salt_version")]
 
 
-def _row_checks(df: DataFrame, model: str, tests: list[Test]) -> DataFrame | None:
-    """not_null / accepted_* / expression tests: one aggregation for all of them."""
-    aggs, names = [], []
+def _row_checks(df: DataFrame, model: str, tests: list[Test], dims: dict[str, DataFrame] | None = None,
+                broadcast_rows: int = 1_000_000) -> tuple[DataFrame | None, list[Test]]:
+    """not_null / accepted_* / expression / relationship tests in one aggregation.
+
+    Each relationship's dimension keys are attached by a broadcast LEFT join (after a
+    size check) so an orphan is a row with a key but no match, counted in the same
+    pass. Relationships to dimensions too large to broadcast are returned for the
+    anti-join path.
+    """
+    aggs, names, deferred = [], [], []
+    base = df
+    for i, t in enumerate(tests):
+        if t.kind == "relationships":
+            d = dims[t.args["to"]].select(F.col(t.args["field"]).alias(f"__fk{i}")).distinct()
+            if not fits(d, broadcast_rows):
+                deferred.append(t)
+                continue
+            base = base.join(F.broadcast(d), F.col(t.column) == F.col(f"__fk{i}"), "left")
     for i, t in enumerate(tests):
         c = F.col(t.column) if t.kind != "expression_is_true" else None
         if t.kind == "not_null":
@@ -99,19 +114,21 @@ def _row_checks(df: DataFrame, model: str, tests: list[Test]) -> DataFrame | Non
             bad = c.isNotNull() & ~_between(c, t.args.get("min_value"), t.args.get("max_value"))
         elif t.kind == "expression_is_true":
             bad = ~F.coalesce(F.expr(t.args["expression"]), F.lit(False))
+        elif t.kind == "relationships" and t not in deferred:
+            bad = c.isNotNull() & F.col(f"__fk{i}").isNull()
         else:
             continue
         aggs.append(F.count_if(bad).alias(f"t{i}"))
         names.append((i, t))
     if not aggs:
-        return None
-    row = df.agg(*aggs)
+        return None, deferred
+    row = base.agg(*aggs)
     structs = [
         F.struct(F.lit(model).alias("model"), F.lit(t.kind).alias("test"), F.lit(t.column).alias("column"),
                  F.col(f"t{i}").alias("failures"))
         for i, t in names
     ]
-    return row.select(F.explode(F.array(*structs)).alias("r")).select("r.*")
+    return row.select(F.explode(F.array(*structs)).alias("r")).select("r.*"), deferred
 
 
 def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -127,7 +144,8 @@ def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def fk_violations(df: DataFrame, column: str, dim: DataFrame, field_: str) -> DataFrame:
-    """Rows whose non-NULL foreign key has no match in the dimension (anti join)."""
+    """Rows whose non-NULL foreign key has no match in the dimension (anti join; the
+    dimension keys are broadcast after a size check, else the join shuffles)."""
     d = bounded_broadcast(dim.select(F.col(field_).alias("__k")).distinct())
     return df.filter(F.col(column).isNotNull()).join(d, F.col(column) == F.col("__k"), "left_anti")
 
@@ -141,11 +159,12 @@ def run_structural_tests(
 ) -> DataFrame:
     """Result table (model, test, column, failures, passed) for a model's tests.
 
-    Row-level tests share one aggregation; each unique test counts duplicate keys;
-    each relationship test counts orphan rows with a broadcast anti join.
+    Row-level and relationship tests share one aggregation (dimensions broadcast after
+    a size check); each unique test counts duplicate keys with one grouped aggregate;
+    relationships to large dimensions fall back to a shuffled anti join.
     """
     parts = []
-    rc = _row_checks(df, model, tests)
+    rc, deferred = _row_checks(df, model, tests, dims)
     if rc is not None:
         parts.append(rc)
     for t in tests:
@@ -153,7 +172,7 @@ def run_structural_tests(
             dup = duplicate_keys(df, [t.column]).agg(F.count("*").alias("failures"))
             parts.append(dup.select(F.lit(model).alias("model"), F.lit("unique").alias("test"),
                                     F.lit(t.column).alias("column"), "failures"))
-        elif t.kind == "relationships":
+        elif t.kind == "relationships" and t in deferred:
             orphans = fk_violations(df, t.column, dims[t.args["to"]], t.args["field"]).agg(F.count("*").alias("failures"))
             parts.append(orphans.select(F.lit(model).alias("model"), F.lit("relationships").alias("test"),
                                         F.lit(t.column).alias("column"), "failures"))

@@ -249,10 +249,15 @@ def zone_versions(spark, sf_dir):
 
 
 def zone_history(spark, sf_dir):
+    """Four snapshot runs (first load, changes, restore, unchanged re-run). Each run's
+    output is materialised to the checkpoint folder, as the snapshot job stores it."""
+    from strata.session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(spark)
     v1, v2, v3 = zone_versions(spark, sf_dir)
-    h = scd2.scd2_merge(None, v1, "location_id", CHECK, SCD_TIMES[0])
-    h = scd2.scd2_merge(h, v2, "location_id", CHECK, SCD_TIMES[1])
-    h = scd2.scd2_merge(h, v3, "location_id", CHECK, SCD_TIMES[2])
+    h = scd2.scd2_merge(None, v1, "location_id", CHECK, SCD_TIMES[0]).checkpoint(eager=True)
+    h = scd2.scd2_merge(h, v2, "location_id", CHECK, SCD_TIMES[1]).checkpoint(eager=True)
+    h = scd2.scd2_merge(h, v3, "location_id", CHECK, SCD_TIMES[2]).checkpoint(eager=True)
     return scd2.scd2_merge(h, v3, "location_id", CHECK, SCD_TIMES[3])
 
 

@@ -22,9 +22,19 @@ AS_OF = "2002-01-01 00:00:00"
 
 
 def audit_log(spark, sf_dir):
-    """The audit table of one monthly run per data month (derived from the data and its gates)."""
-    counts = bronze_m(spark, sf_dir).groupBy("pickup_month").agg(F.count("*").alias("rows"))
-    return A.audit_from_monthly_runs(counts, bronze_verdict(spark, sf_dir), gold_verdict(spark, sf_dir))
+    """The audit table of one monthly run per data month (derived from the data and its gates).
+
+    The bronze suite is evaluated once: its row-count results give the month counts and
+    its verdict the gate outcome (the results are materialised to the checkpoint folder).
+    """
+    from strata.operators.quality import expectations as X
+    from strata.plans.q_quality import bronze_results
+
+    results = bronze_results(spark, sf_dir).checkpoint(eager=True)
+    counts = results.filter(F.col("expectation_type") == X.ROW_COUNT).select(
+        "pickup_month", F.col("element_count").alias("rows"))
+    verdict = X.gate_verdict(results, ["pickup_month"], "testbed_bronze")
+    return A.audit_from_monthly_runs(counts, verdict, gold_verdict(spark, sf_dir))
 
 
 def _audit_sql() -> list[str]:

@@ -38,8 +38,12 @@ def trips_from_lineitem(spark: SparkSession, sf_dir: str, lineitem: DataFrame) -
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+    # Line items and orders are both fact-sized: join them as a sort-merge join on the
+    # order key (the plan they get at any scale), which also spreads the work after the
+    # join over the shuffle partitions even when a file is one row group. Customer and
+    # supplier are left to the planner (broadcast when their statistics are small).
     j = (
-        li.join(o, li.l_orderkey == o.o_orderkey)
+        li.join(o.hint("merge"), li.l_orderkey == o.o_orderkey)
         .join(c, F.col("o_custkey") == c.c_custkey)
         .join(s, F.col("l_suppkey") == s.s_suppkey)
     )
