@@ -263,10 +263,11 @@ def route(df: DataFrame, verdict: DataFrame, group_by: list[str]) -> tuple[DataF
     size check; rows of groups without a verdict are quarantined.
     """
     v = bounded_broadcast(
-        verdict.select(*group_by, F.col("success").alias("__gate_ok"), "failed_expectations"), materialize=True
+        verdict.select(*group_by, F.col("success").alias("__gate_ok"), "failed_expectations", "failed_kwargs"),
+        materialize=True,
     )
     j = df.join(v, group_by, "left")
     ok = F.coalesce(F.col("__gate_ok"), F.lit(False))
-    passed = j.filter(ok).drop("__gate_ok", "failed_expectations")
+    passed = j.filter(ok).drop("__gate_ok", "failed_expectations", "failed_kwargs")
     failed = j.filter(~ok).drop("__gate_ok")
     return passed, failed
