@@ -86,16 +86,15 @@ FCT_ZONE_REVENUE_TESTS = [
 FCT_TOKEN_AUDIT_TESTS = [not_null("audit_id"), unique("audit_id"), not_null("salt_version")]
 
 
-def _row_checks(df: DataFrame, model: str, tests: list[Test], dims: dict[str, DataFrame] | None = None,
-                broadcast_rows: int = 1_000_000) -> tuple[DataFrame | None, list[Test]]:
-    """not_null / accepted_* / expression / relationship tests in one aggregation.
+def _row_conditions(df: DataFrame, tests: list[Test], dims: dict[str, DataFrame] | None,
+                    broadcast_rows: int) -> tuple[DataFrame, list[tuple[Test, object]], list[Test]]:
+    """Per-row failure conditions for not_null / accepted_* / expression / relationship tests.
 
     Each relationship's dimension keys are attached by a broadcast LEFT join (after a
-    size check) so an orphan is a row with a key but no match, counted in the same
-    pass. Relationships to dimensions too large to broadcast are returned for the
-    anti-join path.
+    size check), so an orphan is a row with a key and no match. Relationships to
+    dimensions too large to broadcast are returned for the anti-join path.
     """
-    aggs, names, deferred = [], [], []
+    conds, deferred = [], []
     base = df
     for i, t in enumerate(tests):
         if t.kind == "relationships":
@@ -118,17 +117,13 @@ def _row_checks(df: DataFrame, model: str, tests: list[Test], dims: dict[str, Da
             bad = c.isNotNull() & F.col(f"__fk{i}").isNull()
         else:
             continue
-        aggs.append(F.count_if(bad).alias(f"t{i}"))
-        names.append((i, t))
-    if not aggs:
-        return None, deferred
-    row = base.agg(*aggs)
-    structs = [
-        F.struct(F.lit(model).alias("model"), F.lit(t.kind).alias("test"), F.lit(t.column).alias("column"),
-                 F.col(f"t{i}").alias("failures"))
-        for i, t in names
-    ]
-    return row.select(F.explode(F.array(*structs)).alias("r")).select("r.*"), deferred
+        conds.append((t, bad))
+    return base, conds, deferred
+
+
+def _result(model: str, t: Test, failures) -> object:
+    return F.struct(F.lit(model).alias("model"), F.lit(t.kind).alias("test"), F.lit(t.column).alias("column"),
+                    failures.cast("long").alias("failures"))
 
 
 def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -156,29 +151,42 @@ def run_structural_tests(
     model: str,
     tests: list[Test],
     dims: dict[str, DataFrame] | None = None,
+    broadcast_rows: int = 1_000_000,
 ) -> DataFrame:
-    """Result table (model, test, column, failures, passed) for a model's tests.
-
-    Row-level and relationship tests share one aggregation (dimensions broadcast after
-    a size check); each unique test counts duplicate keys with one grouped aggregate;
-    relationships to large dimensions fall back to a shuffled anti join.
+    """Result table (model, test, column, failures, passed) for a model's tests, in one pass.
+
+    Without a unique test all row-level and relationship checks are one global
+    aggregation. With one, rows are first aggregated per key (map-side combined, so a
+    hot key is one partial row per task) carrying the per-key failure counts; a second,
+    tiny aggregation then yields both the duplicate-key count and the row-check totals.
+    Further unique tests and relationships to dimensions too large to broadcast add
+    their own grouped pass.
     """
+    base, conds, deferred = _row_conditions(df, tests, dims, broadcast_rows)
+    uniques = [t for t in tests if t.kind == "unique"]
     parts = []
-    rc, deferred = _row_checks(df, model, tests, dims)
-    if rc is not None:
-        parts.append(rc)
-    for t in tests:
-        if t.kind == "unique":
-            dup = duplicate_keys(df, [t.column]).agg(F.count("*").alias("failures"))
-            parts.append(dup.select(F.lit(model).alias("model"), F.lit("unique").alias("test"),
-                                    F.lit(t.column).alias("column"), "failures"))
-        elif t.kind == "relationships" and t in deferred:
-            orphans = fk_violations(df, t.column, dims[t.args["to"]], t.args["field"]).agg(F.count("*").alias("failures"))
-            parts.append(orphans.select(F.lit(model).alias("model"), F.lit("relationships").alias("test"),
-                                        F.lit(t.column).alias("column"), "failures"))
+    if uniques:
+        key = uniques[0].column
+        per_key = base.groupBy(key).agg(
+            F.count(F.lit(1)).alias("__n"), *[F.count_if(bad).alias(f"__b{j}") for j, (_, bad) in enumerate(conds)]
+        )
+        results = [_result(model, uniques[0], F.count_if(F.col(key).isNotNull() & (F.col("__n") > 1)))]
+        results += [_result(model, t, F.coalesce(F.sum(f"__b{j}"), F.lit(0))) for j, (t, _) in enumerate(conds)]
+        parts.append(per_key.agg(F.array(*results).alias("r")))
+        extra_uniques = uniques[1:]
+    else:
+        if conds:
+            parts.append(base.agg(F.array(*[_result(model, t, F.count_if(bad)) for t, bad in conds]).alias("r")))
+        extra_uniques = []
+    for t in extra_uniques:
+        dup = duplicate_keys(df, [t.column]).agg(F.array(_result(model, t, F.count("*"))).alias("r"))
+        parts.append(dup)
+    for t in deferred:
+        orphans = fk_violations(df, t.column, dims[t.args["to"]], t.args["field"])
+        parts.append(orphans.agg(F.array(_result(model, t, F.count("*"))).alias("r")))
     if not parts:
         return spark.createDataFrame([], RESULT_SCHEMA)
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out.withColumn("passed", F.col("failures") == 0)
+    return out.select(F.explode("r").alias("r")).select("r.*").withColumn("passed", F.col("failures") == 0)

@@ -69,13 +69,26 @@ def all_null_rows(df: DataFrame, columns: list[str], by: str) -> DataFrame:
     return df.groupBy(by).agg(F.count("*").alias("rows"), F.count_if(all_null).alias("all_null_rows"))
 
 
-def partition_fingerprint(df: DataFrame, group_by: list[str], exclude: list[str] | None = None) -> DataFrame:
-    """Order-insensitive content hash per partition: row count and the sum of 64-bit row hashes.
+FINGERPRINT_NULL = "<null>"
+
+
+def partition_fingerprint(
+    df: DataFrame, group_by: list[str], exclude: list[str] | None = None, method: str = "xxhash64"
+) -> DataFrame:
+    """Order-insensitive content hash per partition: row count and the sum of row hashes.
 
     Run metadata (``exclude``) is left out, so reloading the same data gives the same
-    fingerprint; the sum is taken as DECIMAL(38,0) so it cannot overflow.
+    fingerprint; the sum is taken as DECIMAL(38,0) so it cannot overflow. ``xxhash64``
+    is the fast default; ``md5`` (first 60 bits of the md5 of the '|'-joined string
+    forms) can be recomputed by other engines.
     """
     skip = set(exclude or []) | set(group_by)
     cols = sorted(c for c in df.columns if c not in skip)
-    h = F.xxhash64(*[F.col(c) for c in cols]).cast("decimal(38,0)")
-    return df.groupBy(*group_by).agg(F.count("*").alias("rows"), F.sum(h).alias("content_hash"))
+    if method == "xxhash64":
+        h = F.xxhash64(*[F.col(c) for c in cols])
+    elif method == "md5":
+        text = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit(FINGERPRINT_NULL)) for c in cols])
+        h = F.conv(F.substring(F.md5(text), 1, 15), 16, 10)
+    else:
+        raise ValueError(method)
+    return df.groupBy(*group_by).agg(F.count("*").alias("rows"), F.sum(h.cast("decimal(38,0)")).alias("content_hash"))

@@ -273,9 +273,24 @@ def q_all_null_rows(spark, sf_dir):
 RUN_METADATA = ["_run_id", "_source_url", "_source_sha256", "_ingested_at", "_schema_version"]
 
 
-@register("partition_fingerprint")
+def _fingerprint_sql() -> str:
+    from strata.schemas import BRONZE_SCHEMA
+
+    cols = sorted(f.name for f in BRONZE_SCHEMA.fields if f.name not in RUN_METADATA)
+    text = ", ".join(f"coalesce(CAST({c} AS VARCHAR), '{profile.FINGERPRINT_NULL}')" for c in cols)
+    h = f"CAST('0x' || substr(md5(concat_ws('|', {text})), 1, 15) AS BIGINT)"
+    return f"SELECT pickup_month, COUNT(*) AS rows, CAST(SUM({h}) AS DECIMAL(38,0)) AS content_hash FROM bronze_m GROUP BY 1"
+
+
+@register("partition_fingerprint", O.with_(O.CHAIN_BRONZE + [BRONZE_M], _fingerprint_sql()))
 def q_partition_fingerprint(spark, sf_dir):
-    """Per month: rows and an order-insensitive content hash without run metadata (xxhash64: no SQL oracle)."""
+    """Per month: rows and an order-insensitive content hash without run metadata (md5 form)."""
+    return profile.partition_fingerprint(bronze_m(spark, sf_dir), ["pickup_month"], RUN_METADATA, method="md5")
+
+
+@register("partition_fingerprint_xxhash")
+def q_partition_fingerprint_xxhash(spark, sf_dir):
+    """The fast xxhash64 form of the fingerprint (no SQL engine reproduces Spark's xxhash64)."""
     return profile.partition_fingerprint(bronze_m(spark, sf_dir), ["pickup_month"], RUN_METADATA)
 
 
