@@ -64,3 +64,11 @@ def cross_year_evolution(bronze: DataFrame) -> DataFrame:
         F.avg("congestion_surcharge").alias("avg_congestion_surcharge"),
         F.avg("airport_fee").alias("avg_airport_fee"),
     )
+
+
+def bronze_sample(bronze: DataFrame, columns: list[str], n: int = 5) -> tuple[DataFrame, DataFrame]:
+    """Verification read of a bronze table: (row count as a one-row frame, first ``n`` rows of
+    some columns ordered by pickup time). The limit is the feature: a sample to eyeball."""
+    count = bronze.agg(F.count("*").alias("rows"))
+    sample = bronze.select(*columns).orderBy("tpep_pickup_datetime").limit(n)
+    return count, sample
