@@ -14,8 +14,7 @@ def category_distribution(df: DataFrame, column: str, group_by: list[str] | None
     g = group_by or []
     counts = df.groupBy(*g, column).agg(F.count("*").alias("n"))
     if not g:
-        totals = counts.agg(F.sum("n").alias("__total")).withColumn("__k", F.lit(1))
-        out = counts.withColumn("__k", F.lit(1)).join(F.broadcast(totals), "__k").drop("__k")
+        out = counts.withColumn("__total", counts.agg(F.sum("n")).scalar())
     else:
         out = counts.join(counts.groupBy(*g).agg(F.sum("n").alias("__total")), g)
     return out.withColumn("share", F.col("n") / F.col("__total")).drop("__total")
@@ -25,19 +24,18 @@ def kl_divergence(current: DataFrame, reference: DataFrame, column: str, epsilon
     """KL(current || reference) of a categorical column, one row.
 
     Both sides are reduced to one row per category before the full outer join, so the
-    join and the final sum touch only as many rows as there are categories. Totals
-    reach each category through a one-row broadcast equi join (no single-task window).
+    join and the final sum touch only as many rows as there are categories. The totals
+    are scalar subqueries (computed once, used as values; no single-task window).
     """
     cur = current.groupBy(column).agg(F.count("*").alias("nc"))
     ref = reference.groupBy(column).agg(F.count("*").alias("nr"))
     j = cur.join(ref, column, "full_outer").select(
         column, F.coalesce("nc", F.lit(0)).alias("nc"), F.coalesce("nr", F.lit(0)).alias("nr")
     )
-    totals = j.agg(F.sum("nc").alias("tc"), F.sum("nr").alias("tr"), F.count("*").alias("k")).withColumn("__k", F.lit(1))
-    j = j.withColumn("__k", F.lit(1)).join(F.broadcast(totals), "__k")
-    norm = F.lit(1.0) + F.col("k") * F.lit(epsilon)
-    p = (F.col("nc") / F.col("tc") + F.lit(epsilon)) / norm
-    q = (F.col("nr") / F.col("tr") + F.lit(epsilon)) / norm
+    tc, tr, k = (j.agg(a).scalar() for a in (F.sum("nc"), F.sum("nr"), F.count("*")))
+    norm = F.lit(1.0) + k * F.lit(epsilon)
+    p = (F.col("nc") / tc + F.lit(epsilon)) / norm
+    q = (F.col("nr") / tr + F.lit(epsilon)) / norm
     terms = j.select(column, (p * F.log(p / q)).alias("term"))
     return terms.agg(
         F.sum("term").alias("kl_divergence"),

@@ -45,7 +45,7 @@ def zone_coverage(
     """Per month: active zones, zones with trips, zones without trips, and two sanity counts.
 
     Trips are first reduced to (month, zone); the zone dimension is broadcast after a
-    size check; the dimension size reaches each month through a one-row equi join.
+    size check; the dimension size is a scalar subquery.
     """
     zones = bounded_broadcast(zone_dim.select(F.col("location_id").alias("pu_location_id")).distinct())
     per_zone = facts.groupBy(month_col, "pu_location_id").agg(
@@ -57,8 +57,7 @@ def zone_coverage(
         F.sum("tip_out").alias("tip_pct_out_of_range"), F.sum("non_positive").alias("non_positive_revenue")
     )
     cov = covered.groupBy(month_col).agg(F.count("*").alias("zones_with_trips"))
-    active = zones.agg(F.count("*").alias("active_zones")).withColumn("__k", F.lit(1))
-    out = monthly.join(cov, month_col, "left").withColumn("__k", F.lit(1)).join(F.broadcast(active), "__k").drop("__k")
+    out = monthly.join(cov, month_col, "left").withColumn("active_zones", zones.agg(F.count("*")).scalar())
     zwt = F.coalesce(F.col("zones_with_trips"), F.lit(0))
     return out.select(
         month_col,
