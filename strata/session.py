@@ -21,6 +21,22 @@ BASE_CONF = {
 }
 
 
+# Settings for a large cluster (hundreds of executors, tens of TB per job). Shuffles
+# start wide and AQE coalesces them towards the advisory size; scan splits match the
+# 256 MB target file size; hot partitions above 512 MB (and 5x the median) are split.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "8000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.files.maxRecordsPerFile": "0",
+    "spark.sql.parquet.compression.codec": "zstd",
+}
+
+
 def get_spark(
     app: str = "strata",
     master: str | None = None,
@@ -29,15 +45,15 @@ def get_spark(
 ) -> SparkSession:
     """Build (or reuse) a session with the library's base settings.
 
-    On a cluster pass ``master=None`` and let spark-submit decide; size
-    ``shuffle_partitions`` to the data (AQE coalesces small ones).
+    On a cluster pass ``master=None`` and let spark-submit decide, and pass
+    ``extra=CLUSTER_CONF`` (its shuffle width overrides ``shuffle_partitions``).
     """
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
     conf = dict(BASE_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    conf.update(extra or {})
+    conf.update(extra or {})  # explicit settings win over the defaults above
     for k, v in conf.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.schemas import MANIFEST_SCHEMA, ZONE_SEED_SCHEMA
+from strata.sizing import bounded_broadcast
 
 
 def landing_path(root: str, year: int, month: int) -> str:
@@ -85,5 +86,7 @@ def month_slice(df: DataFrame, months: list[dt.date] | DataFrame, col: str = "pi
     """Rows of some months: an IN filter on the partition column (static pruning), or a
     semi join with a frame of months (dynamic partition pruning on partitioned tables)."""
     if isinstance(months, DataFrame):
-        return df.join(F.broadcast(months.select(F.col(months.columns[0]).alias(col)).distinct()), col, "left_semi")
+        m = bounded_broadcast(months.select(F.col(months.columns[0]).alias(col)).distinct(), max_rows=100_000,
+                              materialize=True)
+        return df.join(m, col, "left_semi")
     return df.filter(F.col(col).isin([F.lit(m) for m in months]))
