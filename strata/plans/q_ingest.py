@@ -251,6 +251,12 @@ def zone_versions(spark, sf_dir):
 def zone_history(spark, sf_dir):
     """Four snapshot runs (first load, changes, restore, unchanged re-run). Each run's
     output is materialised to the checkpoint folder, as the snapshot job stores it."""
+    from strata.plans.registry import built
+
+    return built(spark, ("zone_history", sf_dir), lambda: _zone_history(spark, sf_dir))
+
+
+def _zone_history(spark, sf_dir):
     from strata.session import ensure_checkpoint_dir
 
     ensure_checkpoint_dir(spark)

@@ -22,6 +22,13 @@ AS_OF = "2002-01-01 00:00:00"
 
 
 def audit_log(spark, sf_dir):
+    """The audit table of one monthly run per data month (built once per session)."""
+    from strata.plans.registry import built
+
+    return built(spark, ("audit_log", sf_dir), lambda: _audit_log(spark, sf_dir))
+
+
+def _audit_log(spark, sf_dir):
     """The audit table of one monthly run per data month (derived from the data and its gates).
 
     The bronze suite is evaluated once: its row-count results give the month counts and
