@@ -416,3 +416,16 @@ def q_dedupe_latest(spark, sf_dir):
     """One row per trip grain, latest ingestion first; duplicate trips collapse."""
     s = models(spark, sf_dir).stg_trips.select(*_DEDUPE_COLS)
     return silver.dedupe_latest(s, _DEDUPE_KEYS, "_ingested_at")
+
+
+@register(
+    "dim_zone_from_snapshot",
+    O.with_(
+        [O.ZONE] + _scd_sql_ctes(),
+        """SELECT location_id, zone_name, borough, service_zone, valid_from AS effective_from,
+  md5(CAST(location_id AS VARCHAR)) AS zone_sk FROM h3 WHERE valid_to IS NULL""",
+    ),
+)
+def q_dim_zone_from_snapshot(spark, sf_dir):
+    """The zone dimension built from the current rows of the SCD2 snapshot."""
+    return dims.dim_zone(zone_history(spark, sf_dir))

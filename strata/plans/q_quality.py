@@ -296,3 +296,21 @@ FROM pz, act GROUP BY pickup_month, active_zones""",
 def q_zone_coverage(spark, sf_dir):
     m = models(spark, sf_dir)
     return reconcile.zone_coverage(m.fct_trips, m.dim_zone)
+
+
+@register(
+    "gate_route",
+    O.with_(
+        CHAIN_GATE,
+        """SELECT b.pickup_month, CASE WHEN coalesce(v.success, false) THEN 'silver' ELSE 'quarantine' END AS route,
+  COUNT(*) AS rows
+FROM bronze_m b LEFT JOIN bronze_verdict v ON b.pickup_month = v.pickup_month GROUP BY 1, 2""",
+    ),
+)
+def q_gate_route(spark, sf_dir):
+    """Rows per month sent to silver or to quarantine by the verdict join (no driver branch)."""
+    b = bronze_m(spark, sf_dir).select("pickup_month", "VendorID")
+    passed, failed = X.route(b, bronze_verdict(spark, sf_dir), ["pickup_month"])
+    both = passed.withColumn("route", F.lit("silver")).unionByName(
+        failed.select("pickup_month", "VendorID").withColumn("route", F.lit("quarantine")))
+    return both.groupBy("pickup_month", "route").agg(F.count("*").alias("rows"))
