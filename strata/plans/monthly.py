@@ -25,7 +25,8 @@ from strata.ops.audit import DAG_ID, AuditRecord, append_audit, audit_frame
 from strata.plans.models import RunParams
 from strata.session import scratch_path
 from strata.sinks.writers import overwrite_partitions
-from strata.sources.landing import read_landing
+from strata.sizing import bounded_broadcast
+from strata.sources.landing import build_manifest, landing_path, read_landing
 
 PM = "pickup_month"
 
@@ -69,12 +70,16 @@ def run_month(
     t0 = time.time()
     month = dt.date(month.year, month.month, 1)
     raw = read_landing(spark, landing_root, [month])
-    source_url = F.col("_source_file")
+    # each row carries its file and that file's sha256, recomputed on executors (one
+    # row per file, so the manifest side is broadcast after a size check)
+    files = build_manifest(spark, os.path.join(landing_path(landing_root, month.year, month.month), "*"),
+                           count_rows=False).select(F.col("path").alias("_source_file"), F.col("sha256").alias("_sha"))
+    raw = raw.join(bounded_broadcast(files, 1_000_000), "_source_file", "left")
     target = spark.read.parquet(tables.bronze).drop(PM).schema if _exists(spark, tables.bronze) else None
     bronze_u = ingest.bronze_from_landing(
-        raw.drop("year", "month"), params.run_id, source_url, params.source_sha256, params.ingested_at,
+        raw.drop("year", "month"), params.run_id, F.col("_source_file"), F.col("_sha"), params.ingested_at,
         params.schema_version, target,
-    ).drop("_source_file")
+    ).drop("_source_file", "_sha")
     routed = ingest.with_pickup_month(ingest.route_out_of_month(bronze_u, month))
 
     # stage the month once (lineage cut in the shared checkpoint folder)

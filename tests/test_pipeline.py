@@ -43,6 +43,8 @@ def test_rerun_and_order_give_same_tables(spark, tmp_dir):
     months = {r.pickup_month for r in spark.read.parquet(a.bronze).select("pickup_month").distinct().collect()}
     assert months == {JAN, FEB, MAR}  # strays never reach neighbour partitions
     assert spark.read.parquet(a.late_or_early).count() > 0
+    shas = spark.read.parquet(a.bronze).select("_source_url", "_source_sha256").distinct().collect()
+    assert shas and all(len(r._source_sha256) == 64 and r._source_url.endswith(".parquet") for r in shas)
     audit = spark.read.parquet(b.pipeline_audit)
     assert audit.count() == 4 and audit.filter(F.col("status") == "SUCCESS").count() == 4
 
