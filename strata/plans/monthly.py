@@ -24,7 +24,7 @@ from strata.operators.quality import expectations as X
 from strata.ops.audit import DAG_ID, AuditRecord, append_audit, audit_frame
 from strata.plans.models import RunParams
 from strata.session import scratch_path
-from strata.sinks.writers import overwrite_partitions
+from strata.sinks.writers import append, overwrite_partitions
 from strata.sizing import bounded_broadcast
 from strata.sources.landing import build_manifest, landing_path, read_landing
 
@@ -56,6 +56,13 @@ def _read(spark: SparkSession, path: str, month: dt.date, like: DataFrame) -> Da
     return spark.read.schema(like.schema).parquet(path).filter(F.col(PM) == F.lit(month))
 
 
+def table_schema(spark: SparkSession, path: str):
+    """Schema of a stored table whose files may differ by added columns (additive evolution)."""
+    if not _exists(spark, path):
+        return None
+    return spark.read.option("mergeSchema", "true").parquet(path).drop(PM).schema
+
+
 def run_month(
     spark: SparkSession,
     tables: Tables,
@@ -64,8 +71,14 @@ def run_month(
     params: RunParams = RunParams(),
     suite: list = X.BRONZE_SUITE,
     zone_seed: DataFrame | None = None,
+    quarantine_mode: str = "replace",
 ) -> dict:
-    """Load one month end to end; returns row counts and the gate outcome."""
+    """Load one month end to end; returns row counts and the gate outcome.
+
+    ``quarantine_mode``: ``replace`` (default) overwrites the month's quarantine partition, so a
+    re-run does not duplicate rows; ``append`` keeps every run's copy, told apart by
+    ``_quarantine_run_id``.
+    """
     started = dt.datetime.now(dt.timezone.utc).replace(microsecond=0, tzinfo=None)
     t0 = time.time()
     month = dt.date(month.year, month.month, 1)
@@ -75,7 +88,7 @@ def run_month(
     files = build_manifest(spark, os.path.join(landing_path(landing_root, month.year, month.month), "*"),
                            count_rows=False).select(F.col("path").alias("_source_file"), F.col("sha256").alias("_sha"))
     raw = raw.join(bounded_broadcast(files, 1_000_000), "_source_file", "left")
-    target = spark.read.parquet(tables.bronze).drop(PM).schema if _exists(spark, tables.bronze) else None
+    target = table_schema(spark, tables.bronze)
     bronze_u = ingest.bronze_from_landing(
         raw.drop("year", "month"), params.run_id, F.col("_source_file"), F.col("_sha"), params.ingested_at,
         params.schema_version, target,
@@ -110,7 +123,10 @@ def run_month(
         F.to_json("failed_kwargs").alias("_expectation_kwargs"),
         F.lit(params.run_id).alias("_quarantine_run_id"),
     )
-    rows_quarantined = overwrite_partitions(quarantine, tables.quarantine, PM, [month])
+    if quarantine_mode == "append":
+        rows_quarantined = append(quarantine, tables.quarantine, [PM])
+    else:
+        rows_quarantined = overwrite_partitions(quarantine, tables.quarantine, PM, [month])
 
     stg = silver.stg_trips(passed, params.transformed_at)
     rows_silver = overwrite_partitions(stg, tables.stg_trips, PM, [month])

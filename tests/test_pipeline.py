@@ -76,3 +76,38 @@ def test_overwrite_restricted_to_target_month(spark, tmp_dir):
     n = overwrite_partitions(stray, path, months=[JAN])
     out = sorted((r.pickup_month, r.v) for r in spark.read.parquet(path).collect())
     assert n == 1 and out == [(JAN, 9), (FEB, 2), (FEB, 3)]
+
+
+def test_schema_evolution_across_months(spark, tmp_dir):
+    """Old months land without the optional columns, a later month with a new column:
+    bronze gains the columns, earlier months read them as NULL (silver coalesces to 0)."""
+    root = os.path.join(tmp_dir, "landing")
+    raw = testbed.trips_raw(spark, SF).filter(F.year("tpep_pickup_datetime") == 1996)
+    month = F.date_trunc("month", "tpep_pickup_datetime").cast("date")
+    old = raw.filter(F.month("tpep_pickup_datetime") == 1).drop("congestion_surcharge", "airport_fee")
+    land_months(old, root, month)
+    new = raw.filter(F.month("tpep_pickup_datetime") == 2).withColumn("cbd_fee", F.lit(0.75))
+    land_months(new, root + "-new", month)
+    t = Tables(os.path.join(tmp_dir, "evo"))
+    run_month(spark, t, root, JAN, suite=SUITE)
+    run_month(spark, t, root + "-new", FEB, suite=SUITE)
+    b = spark.read.option("mergeSchema", "true").parquet(t.bronze)
+    assert {"congestion_surcharge", "airport_fee", "cbd_fee"} <= set(b.columns)
+    assert dict(b.dtypes)["cbd_fee"] == "double"  # new columns keep their real type
+    jan = b.filter(F.col("pickup_month") == JAN)
+    assert jan.filter(F.col("airport_fee").isNotNull() | F.col("cbd_fee").isNotNull()).count() == 0
+    stg = spark.read.parquet(t.stg_trips).filter(F.col("pickup_month") == JAN)
+    assert stg.filter(F.col("airport_fee") != 0).count() == 0 and stg.count() == jan.count()
+
+
+def test_quarantine_append_mode_keeps_every_run(spark, tmp_dir):
+    root = landing(spark, tmp_dir)
+    t = Tables(os.path.join(tmp_dir, "qa"))
+    fail = [X.E(X.ROW_COUNT, min_value=10**9, max_value=10**10)]
+    from strata.plans.models import RunParams
+
+    a = run_month(spark, t, root, JAN, RunParams(run_id="r1"), suite=fail, quarantine_mode="append")
+    run_month(spark, t, root, JAN, RunParams(run_id="r2"), suite=fail, quarantine_mode="append")
+    q = spark.read.parquet(t.quarantine)
+    assert q.count() == 2 * a["quarantined"]
+    assert {r[0] for r in q.select("_quarantine_run_id").distinct().collect()} == {"r1", "r2"}
