@@ -73,6 +73,30 @@ def tokenize_bronze(
     return joined.withColumn("_salt_version", F.lit(salt_version).cast("int"))
 
 
+def tokenize_with_fresh_lookup(bronze: DataFrame, salt: str, salt_version: int) -> DataFrame:
+    """Tokens for rows whose lookup is built from these same rows, in the same pass.
+
+    A freshly built lookup holds, for every non-NULL key of ``bronze``, PII that is a
+    function of the key; joining it back is a self-join whose result is that function
+    of each row's own key. This computes it as a projection, with the same values:
+    NULL keys get NULL tokens, as an unmatched join row would. Use
+    :func:`tokenize_bronze` whenever the lookup is a stored table (edited by erasure or
+    shared across runs).
+    """
+    stale = [c for c in (*TOKEN_COLUMNS, "_salt_version") if c in bronze.columns]
+    base = bronze.drop(*stale)
+    has_key = F.col("VendorID").isNotNull() & F.col("tpep_pickup_datetime").isNotNull()
+    seed = pii_seed(F.col("VendorID").cast("int"), F.col("tpep_pickup_datetime"))
+    pii = {
+        "passenger_email": fake_email(seed),
+        "passenger_phone": fake_phone(seed),
+        "payment_card_last4": fake_card_last4(seed),
+        "passenger_id": fake_passenger_id(seed),
+    }
+    tokens = {tok: F.when(has_key, token(pii[raw], salt)) for raw, tok in zip(PII_COLUMNS, TOKEN_COLUMNS)}
+    return base.withColumns({**tokens, "_salt_version": F.lit(salt_version).cast("int")})
+
+
 def rotate_salt(bronze: DataFrame, lookup: DataFrame, new_salt: str, new_version: int) -> DataFrame:
     """Re-tokenise with a new salt; prior tokens become unresolvable, the lookup is unchanged."""
     return tokenize_bronze(bronze, lookup, new_salt, new_version)

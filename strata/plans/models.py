@@ -64,7 +64,10 @@ class TripModels:
 
     @cached_property
     def bronze(self) -> DataFrame:
-        return privacy.tokenize_bronze(self.bronze_untokenized, self.pii_lookup, self.p.salt, self.p.salt_version)
+        # The lookup here is built from these very rows, so the token join is evaluated as
+        # a projection in the same pass (same values; see tokenize_with_fresh_lookup).
+        # Stored lookups (run_month, rotation, erasure) go through the join.
+        return privacy.tokenize_with_fresh_lookup(self.bronze_untokenized, self.p.salt, self.p.salt_version)
 
     @cached_property
     def stg_trips(self) -> DataFrame:

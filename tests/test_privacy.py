@@ -57,3 +57,13 @@ def test_token_coverage(spark):
     out = privacy.tokenize_bronze(b, lookup(spark), "s", 1)
     r = privacy.token_coverage(out).first()
     assert (r.total_rows, r.tokenized_rows, r.coverage, r.avg_token_length) == (2, 1, 0.5, 64.0)
+
+
+def test_fresh_lookup_projection_equals_join(spark):
+    rows = [(2, T0, None), (2, T0, None), (1, dt.datetime(2023, 2, 1), None), (None, T0, None), (1, None, None)]
+    b = spark.createDataFrame(rows, BRONZE)
+    joined = privacy.tokenize_bronze(b, privacy.build_pii_lookup(b), "s", 3)
+    fresh = privacy.tokenize_with_fresh_lookup(b, "s", 3)
+    cols = ["VendorID", "tpep_pickup_datetime", *TOKEN_COLUMNS, "_salt_version"]
+    key = lambda r: tuple(map(str, r))
+    assert sorted(joined.select(cols).collect(), key=key) == sorted(fresh.select(cols).collect(), key=key)
