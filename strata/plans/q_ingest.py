@@ -8,7 +8,7 @@ from strata.operators import analytics, dims, ingest, privacy, scd2, silver
 from strata.plans import oracle as O
 from strata.plans.models import RunParams
 from strata.plans.registry import models, register
-from strata.schemas import RAW_FIELDS, SOURCE_TYPES, TOKEN_COLUMNS
+from strata.schemas import SOURCE_TYPES, TOKEN_COLUMNS
 from strata.sources import landing, testbed
 
 SRC_COLS = ", ".join(SOURCE_TYPES)

@@ -11,7 +11,7 @@ from strata.operators import ingest
 from strata.ops import audit as A
 from strata.ops import files, profile
 from strata.plans import oracle as O
-from strata.plans.q_quality import BRONZE_M, CHAIN_GATE, GOLD_RESULTS, GOLD_VERDICT, bronze_m, bronze_verdict, gold_verdict
+from strata.plans.q_quality import BRONZE_M, CHAIN_GATE, GOLD_RESULTS, GOLD_VERDICT, bronze_m, gold_verdict
 from strata.plans.registry import models, register
 from strata.schemas import SOURCE_TYPES
 from strata.session import scratch_path

@@ -2,7 +2,6 @@
 
 import json
 
-from pyspark.sql import functions as F
 
 from strata.operators.quality import expectations as X
 from strata.operators.quality import structural as S
