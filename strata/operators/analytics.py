@@ -21,10 +21,15 @@ def top_zones(zone_rev: DataFrame, k: int = 10, per: str = "pickup_month") -> Da
 
 
 def top_zones_in_month(zone_rev: DataFrame, month, k: int = 10) -> DataFrame:
-    """The single-month form: filter then take-ordered (a top-k report)."""
+    """The single-month form: month filter, then take-ordered (a top-k report).
+
+    ``month`` is a date, or a one-column frame of months (semi join, size-checked).
+    """
+    from strata.sources.landing import month_slice
+
+    rows = month_slice(zone_rev, month if isinstance(month, DataFrame) else [month])
     return (
-        zone_rev.filter(F.col("pickup_month") == F.lit(month))
-        .orderBy(F.col("total_revenue").desc(), F.col("pu_location_id"))
+        rows.orderBy(F.col("total_revenue").desc(), F.col("pu_location_id"))
         .limit(k)
         .select("pu_location_id", "zone_name", "borough", "trip_count", "total_revenue")
     )
@@ -70,5 +75,5 @@ def bronze_sample(bronze: DataFrame, columns: list[str], n: int = 5) -> tuple[Da
     """Verification read of a bronze table: (row count as a one-row frame, first ``n`` rows of
     some columns ordered by pickup time). The limit is the feature: a sample to eyeball."""
     count = bronze.agg(F.count("*").alias("rows"))
-    sample = bronze.select(*columns).orderBy("tpep_pickup_datetime").limit(n)
+    sample = bronze.select(*columns).orderBy(*columns).limit(n)  # total order: same rows every run
     return count, sample

@@ -429,3 +429,35 @@ def q_dedupe_latest(spark, sf_dir):
 def q_dim_zone_from_snapshot(spark, sf_dir):
     """The zone dimension built from the current rows of the SCD2 snapshot."""
     return dims.dim_zone(zone_history(spark, sf_dir))
+
+
+@register(
+    "top_zones_latest_month",
+    O.with_(
+        O.CHAIN_GOLD,
+        """SELECT pu_location_id, zone_name, borough, trip_count, total_revenue FROM zone_rev
+WHERE pickup_month = (SELECT max(pickup_month) FROM zone_rev)
+ORDER BY total_revenue DESC, pu_location_id LIMIT 10""",
+    ),
+)
+def q_top_zones_latest_month(spark, sf_dir):
+    """Top 10 pickup zones by revenue in the latest month (a top-k report)."""
+    zr = models(spark, sf_dir).fct_zone_revenue_monthly
+    latest = zr.agg(F.max("pickup_month").alias("pickup_month"))
+    return analytics.top_zones_in_month(zr, latest, 10)
+
+
+SAMPLE_COLS = ["tpep_pickup_datetime", "VendorID", "tpep_dropoff_datetime", "PULocationID", "fare_amount", "total_amount"]
+
+
+@register(
+    "bronze_sample",
+    O.with_(
+        O.CHAIN_BRONZE[:2],
+        f"SELECT {', '.join(SAMPLE_COLS)} FROM bronze_u ORDER BY {', '.join(c + ' NULLS FIRST' for c in SAMPLE_COLS)} LIMIT 5",
+    ),
+)
+def q_bronze_sample(spark, sf_dir):
+    """Verification sample of bronze: the first 5 rows in a total order (the limit is the feature)."""
+    _count, sample = analytics.bronze_sample(models(spark, sf_dir).bronze_untokenized, SAMPLE_COLS, 5)
+    return sample
