@@ -16,12 +16,14 @@ def duration_sec(start: Column, end: Column) -> Column:
 
 
 def duration_min(start: Column, end: Column) -> Column:
-    return (duration_sec(start, end) / F.lit(60.0)).cast("decimal(10,2)")
+    """Minutes between two timestamps as DECIMAL(10,2); NULL (not a job failure under ANSI
+    mode) when a dirty timestamp pair overflows the type."""
+    return (duration_sec(start, end) / F.lit(60.0)).try_cast("decimal(10,2)")
 
 
 def tip_pct(tip: Column, fare: Column) -> Column:
-    """Tip as a percentage of fare; NULL unless fare > 0."""
-    return F.when(fare > 0, (tip / fare * F.lit(100.0)).cast("decimal(10,2)"))
+    """Tip as a percentage of fare; NULL unless fare > 0, NULL on overflow."""
+    return F.when(fare > 0, (tip / fare * F.lit(100.0)).try_cast("decimal(10,2)"))
 
 
 def month_start(year: int, month: int) -> Column:

@@ -34,8 +34,8 @@ def kl_divergence(current: DataFrame, reference: DataFrame, column: str, epsilon
     )
     tc, tr, k = (j.agg(a).scalar() for a in (F.sum("nc"), F.sum("nr"), F.count("*")))
     norm = F.lit(1.0) + k * F.lit(epsilon)
-    p = (F.col("nc") / tc + F.lit(epsilon)) / norm
-    q = (F.col("nr") / tr + F.lit(epsilon)) / norm
+    p = (F.coalesce(F.col("nc") / F.nullif(tc, F.lit(0)), F.lit(0.0)) + F.lit(epsilon)) / norm
+    q = (F.coalesce(F.col("nr") / F.nullif(tr, F.lit(0)), F.lit(0.0)) + F.lit(epsilon)) / norm
     terms = j.select(column, (p * F.log(p / q)).alias("term"))
     return terms.agg(
         F.sum("term").alias("kl_divergence"),

@@ -62,3 +62,17 @@ def test_surrogate_key_published_formula(spark):
     got = df.select(surrogate_key("a", "b", "c")).first()[0]
     want = hashlib.md5("1-_dbt_utils_surrogate_key_null_-x".encode()).hexdigest()
     assert got == want
+
+
+def test_trip_measures_null_on_overflow_instead_of_failing(spark):
+    from decimal import Decimal
+
+    from strata.functions import duration_min, tip_pct
+
+    df = spark.createDataFrame(
+        [(dt.datetime(2023, 1, 1, 8, 0), dt.datetime(2023, 1, 1, 8, 20), Decimal("2.00"), Decimal("12.50")),
+         (dt.datetime(1900, 1, 1), dt.datetime(2100, 1, 1), Decimal("99999999.00"), Decimal("0.01"))],
+        "a timestamp, b timestamp, tip decimal(10,2), fare decimal(10,2)")
+    rows = df.select(duration_min(F.col("a"), F.col("b")).alias("d"), tip_pct(F.col("tip"), F.col("fare")).alias("p")).collect()
+    assert (str(rows[0].d), str(rows[0].p)) == ("20.00", "16.00")
+    assert rows[1].d is None and rows[1].p is None
