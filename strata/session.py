@@ -65,13 +65,16 @@ def get_spark(
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    The cluster's setting wins. Only when nothing is configured (local tests) a
-    scratch folder is created under the system temp dir.
+    The cluster's setting wins. Only a local-mode session without a setting (tests,
+    bench) gets a scratch folder under the system temp dir; on a cluster a missing
+    setting is an error, because a machine-local folder would not survive a lost node.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
         configured = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
         configured = tempfile.mkdtemp(prefix="strata-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
     spark.sparkContext.setCheckpointDir(configured)
