@@ -7,7 +7,6 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.functions.keys import surrogate_key
 from strata.sizing import bounded_broadcast
 
 SCD_COLUMNS = ("scd_id", "updated_at", "valid_from", "valid_to")
@@ -68,10 +67,15 @@ def scd2_merge(
     return closed.select(*cols).unionByName(kept).unionByName(closing).unionByName(inserts)
 
 
+def snapshot_id(key: Column, updated_at: Column) -> Column:
+    """Snapshot row id: md5 of the '|'-joined string forms, NULL as '' (snapshot convention)."""
+    return F.md5(F.concat_ws("|", F.coalesce(key.cast("string"), F.lit("")), F.coalesce(updated_at.cast("string"), F.lit(""))))
+
+
 def _versions(rows: DataFrame, key: str, check_cols: list[str], now: Column) -> DataFrame:
     return rows.select(
         key, *check_cols,
-        surrogate_key(F.col(key), now).alias("scd_id"),
+        snapshot_id(F.col(key), now).alias("scd_id"),
         now.alias("updated_at"),
         now.alias("valid_from"),
         F.lit(None).cast("timestamp").alias("valid_to"),

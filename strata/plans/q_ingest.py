@@ -277,7 +277,8 @@ FROM v1 WHERE borough <> 'AFRICA')""",
     ]
 
     def ins(src, t):
-        return (f"SELECT location_id, borough, zone_name, service_zone, {O.sk('location_id', O.ts(t))} AS scd_id, "
+        sid = f"md5(coalesce(CAST(location_id AS VARCHAR), '') || '|' || coalesce(CAST({O.ts(t)} AS VARCHAR), ''))"
+        return (f"SELECT location_id, borough, zone_name, service_zone, {sid} AS scd_id, "
                 f"{O.ts(t)} AS updated_at, {O.ts(t)} AS valid_from, CAST(NULL AS TIMESTAMP) AS valid_to FROM {src}")
 
     same = " AND ".join(f"c.{x} IS NOT DISTINCT FROM s.{x}" for x in CHECK)
