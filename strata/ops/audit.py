@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from strata.schemas import AUDIT_SCHEMA, STATUS_CODES
 
-DAG_ID = "yellow_taxi_monthly_ingest"
+DAG_ID = "monthly_trip_load"
 
 
 @dataclass
@@ -120,9 +120,9 @@ def audit_from_monthly_runs(
     n = F.col("rows")
     zero = F.lit(0)
     rows = [
-        row("landing_to_bronze", "bronze", "bronze.yellow_trips", n, n, zero, F.lit(""), F.lit(1.0), empty,
+        row("landing_to_bronze", "bronze", "bronze.trips", n, n, zero, F.lit(""), F.lit(1.0), empty,
             start, t1, F.lit("SUCCESS"), F.lit(None)),
-        row("ge_bronze", "bronze", "bronze.yellow_trips", n, F.when(b_ok, n).otherwise(zero),
+        row("ge_bronze", "bronze", "bronze.trips", n, F.when(b_ok, n).otherwise(zero),
             F.when(b_ok, zero).otherwise(n), F.col("b_suite"), F.col("b_rate"), F.coalesce(F.col("b_failed"), empty),
             t1, t2, F.when(b_ok, "SUCCESS").otherwise("QUARANTINED"), F.lit(None)),
         F.when(b_ok, row("ge_gold", "gold", "gold.fct_trips", n, n, zero, F.col("g_suite"), F.col("g_rate"),

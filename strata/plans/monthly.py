@@ -144,7 +144,7 @@ def run_month(
     v = verdict.first()
     status = "SUCCESS" if v["success"] else "QUARANTINED"
     rec = AuditRecord(
-        run_id=params.run_id, dag_id=DAG_ID, task_id="run_month", layer="bronze", table_name="bronze.yellow_trips",
+        run_id=params.run_id, dag_id=DAG_ID, task_id="run_month", layer="bronze", table_name="bronze.trips",
         started_at=started, finished_at=started + dt.timedelta(seconds=round(time.time() - t0, 3)), status=status,
         source_url=landing_root, rows_in=rows_bronze + strays, rows_out=rows_fct, rows_quarantined=rows_quarantined,
         ge_suite_name=v["suite_name"], ge_pass_rate=v["pass_rate"], ge_failed_expectations=list(v["failed_expectations"]),

@@ -71,10 +71,10 @@ def _audit_sql() -> list[str]:
     make_timestamp(epoch_us(s0) + 30000000 + rows * 10000 + 2 * (10000000 + rows * 1000)) AS t3
   FROM (SELECT *, CAST(pickup_month + INTERVAL 1 MONTH AS TIMESTAMP) + INTERVAL 2 HOUR AS s0 FROM jt))""",
         "audit AS ("
-        + row("landing_to_bronze", "bronze", "bronze.yellow_trips", "rows", "rows", "0", "''", "1.0", empty,
+        + row("landing_to_bronze", "bronze", "bronze.trips", "rows", "rows", "0", "''", "1.0", empty,
               "s0", "t1", "'SUCCESS'", "NULL")
         + "\nUNION ALL\n"
-        + row("ge_bronze", "bronze", "bronze.yellow_trips", "rows", "CASE WHEN b_ok THEN rows ELSE 0 END",
+        + row("ge_bronze", "bronze", "bronze.trips", "rows", "CASE WHEN b_ok THEN rows ELSE 0 END",
               "CASE WHEN b_ok THEN 0 ELSE rows END", "b_suite", "b_rate", f"coalesce(b_failed, {empty})", "t1", "t2",
               "CASE WHEN b_ok THEN 'SUCCESS' ELSE 'QUARANTINED' END", "NULL")
         + "\nUNION ALL\n"
