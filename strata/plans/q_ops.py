@@ -32,7 +32,8 @@ def _audit_log(spark, sf_dir):
     """The audit table of one monthly run per data month (derived from the data and its gates).
 
     The bronze suite is evaluated once: its row-count results give the month counts and
-    its verdict the gate outcome (the results are materialised to the checkpoint folder).
+    its verdict the gate outcome. Suite results and the gold verdict (one row per month)
+    are materialised to the checkpoint folder, as the pipeline stores gate outcomes.
     """
     from strata.operators.quality import expectations as X
     from strata.plans.q_quality import bronze_results
@@ -41,7 +42,9 @@ def _audit_log(spark, sf_dir):
     counts = results.filter(F.col("expectation_type") == X.ROW_COUNT).select(
         "pickup_month", F.col("element_count").alias("rows"))
     verdict = X.gate_verdict(results, ["pickup_month"], "testbed_bronze")
-    return A.audit_from_monthly_runs(counts, verdict, gold_verdict(spark, sf_dir))
+    # gate outcomes are per-month summaries the pipeline stores; materialise the gold one too
+    gold = gold_verdict(spark, sf_dir).checkpoint(eager=True)
+    return A.audit_from_monthly_runs(counts, verdict, gold)
 
 
 def _audit_sql() -> list[str]:
