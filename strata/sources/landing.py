@@ -37,9 +37,29 @@ def read_seed_csv(spark: SparkSession, path: str, schema: T.StructType = ZONE_SE
     return spark.read.schema(schema).option("header", True).option("mode", "FAILFAST").csv(path)
 
 
-def read_manifest(spark: SparkSession, path: str) -> DataFrame:
-    """Manifest sidecar(s): indented JSON objects, read with a fixed schema."""
-    return spark.read.schema(MANIFEST_SCHEMA).option("multiLine", True).json(path)
+def read_manifest(spark: SparkSession, *paths: str) -> DataFrame:
+    """Manifest sidecars (one indented JSON object each) as a typed frame.
+
+    Sidecars are named like ``_manifest.json``; Spark's file sources skip names that start
+    with ``_`` or ``.``, so each sidecar (one small metadata record per landing month, not
+    data) is opened through the Hadoop FileSystem API of the session, which reaches the
+    same storage as the data.
+    """
+    import json
+
+    jvm = spark._jvm
+    conf = spark._jsc.hadoopConfiguration()
+    rows = []
+    for path in paths:
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        stream = p.getFileSystem(conf).open(p)
+        try:
+            text = jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+        rec = json.loads(text)
+        rows.append(tuple(rec.get(f.name) for f in MANIFEST_SCHEMA.fields))
+    return spark.createDataFrame(rows, MANIFEST_SCHEMA)
 
 
 def build_manifest(spark: SparkSession, path_glob: str, count_rows: bool = True) -> DataFrame:
