@@ -45,7 +45,7 @@ from strata.llm.tokens import Words, distinct, mix, owners, shingles
 
 WORDS, PERCENT = 4, 85
 #: The extended prefix must share so many percent of a set (k in step 1). A cost choice only.
-EXTRA = 35
+EXTRA = 20
 #: Sets and shingles of a trie, and of the sets that traverse it, in one task of step 4 (about).
 TRIE_SETS, TRIE_TOKENS = 1024, 1 << 21
 

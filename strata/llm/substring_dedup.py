@@ -23,6 +23,7 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -75,7 +76,7 @@ def units(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 
 
 def lost_units(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """A stored row for each document that loses something: its lost units' spans, in order."""
+    """A stored row for each document that loses something: how many units, and their spans merged in order."""
     found = store(units(docs, min_words), "units")
     first = (
         found.groupBy("digest")
@@ -89,7 +90,17 @@ def lost_units(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
         .groupBy("doc_id")
         .agg(F.sort_array(F.collect_set(F.struct("start", "stop"))).alias("_lost"))
     )
-    return store(lost, "units-lost")
+
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            lost = b.column("_lost").to_pylist()
+            spans = [[{"start": a, "stop": z} for a, z in merged(x)] for x in lost]
+            yield pa.RecordBatch.from_arrays(
+                [b.column("doc_id"), pa.array([len(x) for x in lost], pa.int64()), pa.array(spans, _SPAN)], ["doc_id", "_n", "_spans"]
+            )
+
+    return store(lost.mapInArrow(run, "doc_id long, _n long, _spans array<struct<start:int,stop:int>>"), "units-lost")
 
 
 def merged(spans: list[dict]) -> list[tuple[int, int]]:
@@ -113,21 +124,20 @@ def remove_repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "text"):
-            texts, counts, removed = [], [], []
-            for text, lost in zip(b.column("text").to_pylist(), b.column("_lost").to_pylist(), strict=True):
-                spans = merged(lost or [])
+            texts, removed = [], b.column("_spans").to_pylist()
+            for text, spans in zip(b.column("text").to_pylist(), removed, strict=True):
                 if spans:
-                    ends = [0, *(stop for _, stop in spans)]
-                    text = "".join(text[a:z] for a, z in zip(ends, [*(start for start, _ in spans), len(text)], strict=True))
+                    ends = [0, *(s["stop"] for s in spans)]
+                    text = "".join(text[a:z] for a, z in zip(ends, [*(s["start"] for s in spans), len(text)], strict=True))
                 texts.append(text or "")
-                counts.append(len(lost or []))
-                removed.append([{"start": a, "stop": z} for a, z in spans])
+            counts = pc.fill_null(b.column("_n"), 0)
+            removed = [s or [] for s in removed]
             yield pa.RecordBatch.from_arrays(
-                [*(b.column(c) for c in keep), pa.array(texts, pa.string()), pa.array(counts, pa.int64()), pa.array(removed, _SPAN)],
+                [*(b.column(c) for c in keep), pa.array(texts, pa.string()), counts, pa.array(removed, _SPAN)],
                 [*keep, *made],
             )
 
-    return body.select(*keep, "text", "_lost").mapInArrow(run, schema)
+    return body.select(*keep, "text", "_n", "_spans").mapInArrow(run, schema)
 
 
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
