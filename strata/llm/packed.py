@@ -14,9 +14,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from strata.llm.common import stored_bytes
+from strata.llm.tokens import mix
 
 #: Stored bytes of text for each part; its keys and owners then fit in a task many times over.
 PART_BYTES = 8 << 20
+_AGAIN = np.uint64(0xD6E8FEB86659FD93)
 
 
 def part_count(docs: DataFrame) -> int:
@@ -26,8 +28,11 @@ def part_count(docs: DataFrame) -> int:
 
 
 def parts_of(keys: np.ndarray, n: int) -> np.ndarray:
-    """The part of each (already mixed) 64-bit key: its range of n even ones."""
-    return ((keys >> np.uint64(32)) * np.uint64(n) >> np.uint64(32)).astype(np.int64)
+    """The part of each 64-bit key: the range, of n even ones, that its hash is in.
+
+    Keys are hashed again: those that callers pick as least hashes are not spread evenly.
+    """
+    return ((mix(keys ^ _AGAIN) >> np.uint64(32)) * np.uint64(n) >> np.uint64(32)).astype(np.int64)
 
 
 def packed(keys: np.ndarray, n: int, *columns: np.ndarray) -> Iterator[tuple[int, bytes, list[bytes]]]:
