@@ -1,16 +1,17 @@
 """N-gram Jaccard join: a prefix-tree join over globally ordered shingle sets, and its components.
 
-Sets are the distinct k-word shingles of whole texts as 64-bit hashes; the hash value is the global
-order. Two sets are linked when intersection * 100 >= threshold * union. The steps:
+Sets are the distinct k-word shingles of whole texts as 64-bit hashes; sets are ordered by hash, in
+step 2 rarest first. Two sets are linked when intersection * 100 >= threshold * union. The steps:
 
 1. One pass over the texts gives every row its set size and a 128-bit set identity, so equal sets
    are one class from here on, and sends an extended prefix of every set through a packed shuffle.
    With sets in one order, two linked sets share their first k common shingles within prefixes of
    size - ceil(threshold * size) + k. Classes whose prefix does not hold that many shingles of other
    classes can have no link and leave; this is exact.
-2. The classes that remain bring their whole sets. Every shingle of the plain prefix (k = 1) names
-   the smallest class that holds it, its pivot; a class joins the groups of its pivots. Linked
-   classes share a prefix shingle, so they share a group.
+2. The classes that remain bring their whole sets and count each shingle among themselves. Every
+   shingle of the plain prefix (k = 1, rarest first) names the smallest class that holds it in its
+   prefix, its pivot; a class joins the groups of its pivots. Linked classes share a prefix shingle,
+   so they share a group.
 3. Each class is compared with its pivot. Linked ones are done with each other (the pivot connects
    them). By the triangle inequality of the Jaccard distance, a class further than twice the limit
    from the pivot cannot be linked with those, and needs comparison with the others only.
@@ -29,7 +30,7 @@ Empty tables give no row; other columns are not read.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -158,22 +159,65 @@ def _whole_sets(docs: DataFrame, k: int) -> DataFrame:
     return docs.mapInArrow(run, "cid long, n long, tokens binary")
 
 
-def _prefix_rows(sets: DataFrame, percent: int) -> DataFrame:
-    """(token, cid) of each set's plain prefix."""
+def _shared_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(cid, tokens, counts): the shingles of a part that two sets or more have, and how many do, by set."""
+    keys, ids = [], []
+    for b in batches:
+        keys.append(b.column("keys"))
+        ids.append(b.column("ids"))
+    keys, ids = joined(keys, np.int64), joined(ids, np.int64)
+    if not len(keys):
+        return
+    order = np.argsort(keys)
+    keys, ids = keys[order], ids[order]
+    start = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+    size = np.diff(np.append(start, len(keys)))
+    count = np.repeat(size, size)
+    keys, ids, count = keys[count > 1], ids[count > 1], count[count > 1].astype(np.int32)
+    order = np.argsort(ids, kind="stable")
+    keys, ids, count = keys[order], ids[order], count[order]
+    start = np.flatnonzero(np.append(True, ids[1:] != ids[:-1])[: len(ids)])
+    stop = np.append(start[1:], len(ids))
+    for s in range(0, len(start), 4096):
+        cut = list(zip(start[s : s + 4096], stop[s : s + 4096], strict=True))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(ids[start[s : s + 4096]]), *(pa.array([c[x:y].tobytes() for x, y in cut], pa.binary()) for c in (keys, count))],
+            ["cid", "tokens", "counts"],
+        )
+
+
+def _prefix_rows(sets: DataFrame, percent: int, n_parts: int) -> DataFrame:
+    """(token, cid) of each set's plain prefix, rarest shingles first.
+
+    Shingles that no other candidate has come first of all: they fill the prefix but join nothing,
+    and a set with too few others is no candidate any more.
+    """
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows = [np.frombuffer(t, np.int64) for t in b.column("tokens").to_pylist()]
-            rows = [r[: len(r) - _ceil(len(r), percent) + 1] for r in rows]
+            n = b.column("n").to_numpy()
+            keys, ids = joined([b.column("tokens")], np.uint64), np.repeat(b.column("cid").to_numpy(), n)
+            rows = list(packed(keys, n_parts, ids))
             yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.concatenate(rows) if rows else np.zeros(0, np.int64)),
-                    pa.array(np.repeat(b.column("cid").to_numpy(), [len(r) for r in rows])),
-                ],
-                ["token", "cid"],
+                [pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary()), pa.array([r[2][0] for r in rows], pa.binary())],
+                ["part", "keys", "ids"],
             )
 
-    return sets.select("cid", "tokens").mapInArrow(run, "token long, cid long")
+    def rank(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            tokens, ids = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+            for cid, n, cells in zip(*(b.column(c).to_pylist() for c in ("cid", "n", "cells")), strict=True):
+                keys, counts = (np.frombuffer(b"".join(x[c] for x in cells), t) for c, t in (("tokens", np.int64), ("counts", np.int32)))
+                many = len(keys) - _ceil(n, percent) + 1
+                if many > 0:
+                    tokens.append(keys[np.lexsort((keys, counts))[:many]])
+                    ids.append(np.full(many, cid))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(tokens)), pa.array(np.concatenate(ids))], ["token", "cid"])
+
+    parts = sets.mapInArrow(pack, "part int, keys binary, ids binary").repartition(n_parts, "part")
+    shared = parts.mapInArrow(_shared_tokens, "cid long, tokens binary, counts binary")
+    cells = shared.groupBy("cid").agg(F.collect_list(F.struct("tokens", "counts")).alias("cells"))
+    return cells.join(sets.select("cid", "n"), "cid").mapInArrow(rank, "token long, cid long")
 
 
 def overlap(a: np.ndarray, b: np.ndarray) -> int:
@@ -204,81 +248,112 @@ def _against_pivots(pairs: DataFrame, percent: int) -> DataFrame:
 
 
 class Trie:
-    """Ordered sets in a path-compressed prefix tree.
+    """Ordered sets in a path-compressed prefix tree, its nodes in arrays, level by level.
 
-    A node is a range of the sorted sets and a depth; its edge is the run of tokens they share from
-    the depth of the node above. Sizes of the sets below bound what a subtree can still reach.
+    A node's edge is the run of tokens that the sets below it share from the depth of the node above.
+    A probe walks down one level at a time: the children of a node start from the overlap that its
+    path has, each edge is looked at once for all sets below it, and nodes from which the remaining
+    lengths cannot reach the limit are left.
     """
 
     def __init__(self, sets: list[np.ndarray], percent: int):
         self.percent = percent
         # Big-endian bytes compare as the token sequences do.
-        self.order = sorted(range(len(sets)), key=lambda i: sets[i].astype(">u8").tobytes())
-        self.sets = [sets[i] for i in self.order]
-        self.nodes: list[tuple[np.ndarray, int, int, int, list[int], list[int]]] = []
-        todo: list[tuple[list[int], int, list[int]]] = [(list(range(len(sets))), 0, [])]
-        while todo:
-            rows, depth, siblings = todo.pop()
-            siblings.append(len(self.nodes))
-            edge, to = self._edge(rows, depth)
-            sizes = [len(self.sets[r]) for r in rows]
-            groups: dict[int, list[int]] = {}
-            for r in rows:
-                if len(self.sets[r]) > to:
-                    groups.setdefault(int(self.sets[r][to]), []).append(r)
-            ending = [r for r in rows if len(self.sets[r]) == to]
-            children: list[int] = []
-            self.nodes.append((edge, to, min(sizes), max(sizes), ending, children))
-            todo += [(g, to, children) for g in groups.values()]
-
-    def _edge(self, rows: list[int], depth: int) -> tuple[np.ndarray, int]:
-        """The tokens that sorted ``rows`` share from ``depth`` on: the first and the last share least."""
-        first, last = self.sets[rows[0]], self.sets[rows[-1]]
-        n = min(len(first), len(last))
-        differ = np.flatnonzero(first[depth:n] != last[depth:n])
-        to = depth + int(differ[0]) if len(differ) else n
-        return first[depth:to], to
-
-    def _need(self, n: int, m: int) -> int:
-        """The overlap at which sets of n and m members are linked."""
-        return -(-self.percent * (n + m) // (100 + self.percent))
-
-    def linked(self, probe: np.ndarray) -> Iterator[tuple[int, int]]:
-        """(position of a set given to the trie, overlap) of every set linked with ``probe``."""
-        n = len(probe)
-        stack = [(0, 0, 0)]
-        while stack:
-            node, common, passed = stack.pop()
-            edge, depth, least, most, ending, children = self.nodes[node]
-            if len(edge):
-                common += overlap(edge, probe)
-                passed = int(np.searchsorted(probe, edge[-1], "right"))
-            if common + min(n - passed, most - depth) < self._need(n, least):
-                continue
-            for r in ending:
-                if common >= self._need(n, depth):
-                    yield self.order[r], common
-            stack += [(c, common, passed) for c in children]
+        order = sorted(range(len(sets)), key=lambda i: sets[i].astype(">u8").tobytes())
+        ordered = [sets[i] for i in order]
+        todo, edges, made = [(0, len(ordered), 0)], [], []
+        for lo, hi, depth in todo:  # grows while it is walked
+            first, last = ordered[lo], ordered[hi - 1]  # the first and the last share least
+            n = min(len(first), len(last))
+            differ = np.flatnonzero(first[depth:n] != last[depth:n])
+            to = depth + int(differ[0]) if len(differ) else n
+            sizes = [len(s) for s in ordered[lo:hi]]
+            ends = len(first) == to  # distinct sets: at most the first ends here
+            child = len(todo)
+            begin = lo + ends
+            while begin < hi:
+                stop = begin + 1
+                while stop < hi and ordered[stop][to] == ordered[begin][to]:
+                    stop += 1
+                todo.append((begin, stop, to))
+                begin = stop
+            edges.append(first[depth:to])
+            made.append((to, min(sizes), max(sizes), order[lo] if ends else -1, child, len(todo) - child))
+        self.depth, self.least, self.most, self.end, self.child, self.children = np.array(made, np.int64).T
+        size = np.array([len(e) for e in edges], np.int64)
+        self.last = np.array([e[-1] if len(e) else 0 for e in edges], np.uint64)
+        self.some = np.flatnonzero(size > 0)
+        self.starts = (np.cumsum(size) - size)[self.some]
+        self.vocabulary, self.tokens = np.unique(np.concatenate(edges), return_inverse=True)
+        self.mark = np.zeros(len(self.vocabulary), bool)
+
+    def linked(self, probe: np.ndarray, skip: Callable[[int], bool] = lambda _: False) -> Iterator[tuple[int, int]]:
+        """(position of a set given to the trie, overlap) of every set linked with ``probe``.
+
+        Sets for which ``skip`` holds when their turn comes are left out.
+        """
+        n, p = len(probe), self.percent
+        if not len(self.vocabulary):
+            return
+        at = np.minimum(np.searchsorted(self.vocabulary, probe), len(self.vocabulary) - 1)
+        at = at[self.vocabulary[at] == probe]
+        self.mark[at] = True
+        hits = np.zeros(len(self.depth), np.int64)
+        hits[self.some] = np.add.reduceat(self.mark[self.tokens], self.starts, dtype=np.int64)
+        self.mark[at] = False
+        node, common = np.zeros(1, np.int64), hits[:1]
+        while len(node):
+            rest = np.minimum(n - np.searchsorted(probe, self.last[node], "right"), self.most[node] - self.depth[node])
+            reach = (common + rest) * (100 + p) >= p * (n + self.least[node])
+            node, common = node[reach], common[reach]
+            good = np.flatnonzero((self.end[node] >= 0) & (common * (100 + p) >= p * (n + self.depth[node])))
+            for i, both in zip(self.end[node[good]].tolist(), common[good].tolist(), strict=True):
+                if not skip(i):
+                    yield i, both
+            many = self.children[node]
+            node, common = np.repeat(self.child[node] - np.cumsum(many) + many, many) + np.arange(many.sum()), np.repeat(common, many)
+            common = common + hits[node]
 
 
 def _trie_links(percent: int):
+    """Links of a block. zone 2 meets all stored sets, zone 3 those of zones 2 and 3.
+
+    Sets that earlier links of the block connect already are passed over: what is returned connects
+    the block as all its links would.
+    """
+
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        stored = rows[rows["stored"]].reset_index(drop=True)
-        probes = rows[~rows["stored"]]
         out: list[tuple[int, int]] = []
-        if len(stored) and len(probes):
+        above: dict[int, int] = {}
+
+        def root(x: int) -> int:
+            while (y := above.get(x, x)) != x:
+                above[x] = above.get(y, y)
+                x = above[x]
+            return x
+
+        pivot = int(rows["pivot"].iloc[0])
+        above |= {int(c): pivot for c in rows.loc[rows["zone"] == 1, "cid"]}
+        probes = rows[~rows["stored"]]
+        for near in (True, False):
+            stored = rows[rows["stored"] & ((rows["zone"] == 1) == near)]
+            mine = probes[probes["zone"] == 2] if near else probes
+            if not len(stored) or not len(mine):
+                continue
             trie = Trie([np.frombuffer(t, np.uint64) for t in stored["tokens"]], percent)
-            ids = stored["cid"].to_numpy()
-            for cid, data in zip(probes["cid"], probes["tokens"], strict=True):
-                out += [(int(ids[i]), int(cid)) for i, _ in trie.linked(np.frombuffer(data, np.uint64)) if ids[i] != cid]
+            ids = stored["cid"].tolist()
+            for cid, data in zip(mine["cid"].tolist(), mine["tokens"], strict=True):
+                for i, _ in trie.linked(np.frombuffer(data, np.uint64), lambda i, cid=cid: root(ids[i]) == root(cid)):
+                    out.append((ids[i], cid))
+                    above[root(cid)] = root(ids[i])
         return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
 
     return run
 
 
-def class_links(sets: DataFrame, percent: int) -> DataFrame:
+def class_links(sets: DataFrame, percent: int, n_parts: int) -> DataFrame:
     """Stored links (a, b) between classes of ``sets`` (cid, n, tokens), enough for the components."""
-    rows = _prefix_rows(sets, percent)
+    rows = store(_prefix_rows(sets, percent, n_parts), "prefixes")
     pivots = rows.groupBy("token").agg(F.min("cid").alias("pivot"), F.max("cid").alias("_max")).where("pivot < _max")
     pivots = store(pivots.select("token", "pivot"), "pivots")
     groups = store(rows.join(pivots, "token").where("cid <> pivot").select("cid", "pivot").distinct(), "groups")
@@ -297,8 +372,8 @@ def class_links(sets: DataFrame, percent: int) -> DataFrame:
     blocks = F.ceil(F.greatest(F.col("members") / TRIE_SETS, F.col("member_tokens") / TRIE_TOKENS)).cast("int")
     mine = F.pmod(F.xxhash64("cid"), blocks).cast("int")
     every = F.sequence(F.lit(0), blocks - 1)
-    kept = todo.select("pivot", "cid", F.lit(True).alias("stored"), mine.alias("i"), F.explode(every).alias("j"))
-    probe = todo.where("zone > 1").select("pivot", "cid", F.lit(False).alias("stored"), F.explode(every).alias("i"), mine.alias("j"))
+    kept = todo.select("pivot", "cid", "zone", F.lit(True).alias("stored"), mine.alias("i"), F.explode(every).alias("j"))
+    probe = todo.where("zone > 1").select("pivot", "cid", "zone", F.lit(False).alias("stored"), F.explode(every).alias("i"), mine.alias("j"))
     work = kept.unionByName(probe).join(sets.select("cid", "tokens"), "cid")
     more = work.groupBy("pivot", "i", "j").applyInPandas(_trie_links(percent), "a long, b long")
     return store(links.unionByName(more), "links")
@@ -321,7 +396,7 @@ def jaccard_components(docs: DataFrame, k: int = WORDS, percent: int = PERCENT)
     picked = F.broadcast(able) if stored_bytes(able) <= BROADCAST_BYTES else able
     fetched = docs.join(picked, F.col("doc_id") == F.col("least_doc")).select("text", "h1", "h2")
     sets = store(_whole_sets(fetched, k).dropDuplicates(["cid"]), "sets")
-    found = store(components(class_links(sets, percent)), "components")
+    found = store(components(class_links(sets, percent, n_parts)), "components")
     named = classes.join(found, classes["h1"] == found["node"], "left").select(
         "h1", "h2", "least_doc", F.coalesce("component", "h1").alias("component")
     )
