@@ -12,6 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from strata.llm.common import stored_bytes
 from strata.llm.tokens import mix
@@ -22,9 +23,15 @@ _AGAIN = np.uint64(0xD6E8FEB86659FD93)
 
 
 def part_count(docs: DataFrame) -> int:
-    """Parts for the keys of ``docs``, from the size of the files behind it."""
+    """Parts for the keys of ``docs`` (text, ...), from the size of the files behind it.
+
+    A frame that is not read from files has no such size; there the text's bytes are summed.
+    """
     least = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    return max(min(least, 64), -(-stored_bytes(docs) // PART_BYTES))
+    size = stored_bytes(docs)
+    if size >= 1 << 60:
+        size = (docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // 2
+    return max(min(least, 64), -(-size // PART_BYTES))
 
 
 def parts_of(keys: np.ndarray, n: int) -> np.ndarray:

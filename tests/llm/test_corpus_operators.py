@@ -57,7 +57,8 @@ def test_audit_sees_lost_copies(spark):
 # --- Chat format
 
 ROLES = st.sampled_from(["system", "user", "assistant", "tool", "", "<|text|>", "^a"])
-TEXTS = st.text(alphabet=st.sampled_from([*"ab^<>[]/|s \n", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<|end|>", "é", "^b"]), max_size=30)
+PIECES = [*"ab^<>[]/|s \n", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<|end|>", "é", "^b"]
+TEXTS = st.lists(st.sampled_from(PIECES), max_size=12).map("".join)
 
 
 @settings(max_examples=300, deadline=None)
