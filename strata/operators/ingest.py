@@ -59,7 +59,7 @@ def align_schema(df: DataFrame, target: T.StructType | None) -> tuple[DataFrame,
     """Align ``df`` to a target table schema (additive evolution).
 
     Returns the aligned frame (target columns first, in target order, missing ones as
-    typed NULL; then new columns in source order) and the list of new fields the
+    typed NULL, other types cast; then new columns in source order) and the list of new fields the
     target must gain, with their real types. Names compare case-insensitively. With
     no target (the table does not exist yet) the frame is returned unchanged.
     Applying it twice gives the same result as once.
@@ -73,8 +73,10 @@ def align_schema(df: DataFrame, target: T.StructType | None) -> tuple[DataFrame,
         src = present.get(f.name.lower())
         if src is None:
             cols.append(F.lit(None).cast(f.dataType).alias(f.name))
-        else:
+        elif df.schema[src].dataType == f.dataType:
             cols.append(F.col(f"`{src}`").alias(f.name))
+        else:  # a drifted type: the stored type wins, values it cannot hold become NULL
+            cols.append(F.col(f"`{src}`").try_cast(f.dataType).alias(f.name))
     added = [f for f in df.schema.fields if f.name.lower() not in target_lower]
     cols.extend(F.col(f"`{f.name}`") for f in added)
     return df.select(*cols), added

@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import json
 from dataclasses import dataclass, field
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -38,6 +39,11 @@ class Expectation:
     type: str
     kwargs: dict = field(default_factory=dict)
 
+    @property
+    def optional(self) -> bool:
+        """Whether the check may be skipped on a table without its column: the two token checks."""
+        return (self.column or "").endswith("_token")
+
     @property
     def column(self) -> str | None:
         return self.kwargs.get("column") or self.kwargs.get("column_A")
@@ -190,8 +196,9 @@ def _compile(e: Expectation, i: int, accuracy: int) -> tuple[list[Column], Colum
             denom = F.col(p + "n") - F.col(p + "m")
         missing, unexpected = F.col(p + "m"), F.col(p + "u")
         observed = unexpected.cast("double") / F.nullif(denom, F.lit(0))
-        mostly = float(k.get("mostly", 1.0))
-        success = observed.isNull() | (observed <= F.lit(1.0 - mostly))
+        # Exact decimals: 1.0 - mostly is not, and would fail a share right at the bound.
+        good = (denom - unexpected).cast("decimal(19,0)")
+        success = observed.isNull() | (good >= F.lit(Decimal(str(k.get("mostly", 1)))) * denom.cast("decimal(19,0)"))
     unexpected_pct = (
         unexpected.cast("double") / F.nullif(F.col(p + "n") - F.coalesce(missing, F.lit(0)), F.lit(0)) * F.lit(100.0)
     )
@@ -210,10 +217,23 @@ def _compile(e: Expectation, i: int, accuracy: int) -> tuple[list[Column], Colum
     return aggs, result
 
 
-def applicable(df: DataFrame, suite: list[Expectation]) -> list[Expectation]:
-    """Expectations whose columns exist in ``df`` (absent token columns are skipped)."""
+def applicable(df: DataFrame, suite: list[Expectation], skip_optional: bool = True) -> list[Expectation]:
+    """Expectations to run on ``df``: all, but for optional ones (the token checks) whose columns it lacks."""
     have = set(df.columns)
-    return [e for e in suite if all(c in have for c in e.columns())]
+    return [e for e in suite if not (skip_optional and e.optional) or all(c in have for c in e.columns())]
+
+
+def _absent(e: Expectation, i: int) -> tuple[list[Column], Column]:
+    """The failing result of an expectation whose columns are not there."""
+    n = F.col(f"e{i}_n")
+    none = F.lit(None).cast("long")
+    return [F.count(F.lit(1)).alias(f"e{i}_n")], F.struct(
+        F.lit(i).alias("expectation_id"), F.lit(e.type).alias("expectation_type"),
+        F.lit(e.column).cast("string").alias("column"), F.lit(e.kwargs_json()).alias("kwargs"),
+        n.alias("element_count"), none.alias("missing_count"), none.alias("unexpected_count"),
+        F.lit(None).cast("double").alias("unexpected_percent"), F.lit(None).cast("double").alias("observed_value"),
+        F.lit(False).alias("success"),
+    )
 
 
 def evaluate_suite(
@@ -221,17 +241,21 @@ def evaluate_suite(
     suite: list[Expectation],
     group_by: list[str] | None = None,
     accuracy: int = 10000,
+    skip_optional: bool = True,
 ) -> DataFrame:
     """All expectations of ``suite`` over ``df`` (per group) from one aggregation.
 
     Quantiles use ``percentile_approx`` (bounded-memory sketch, mergeable map-side),
-    so a group holding a third of all rows still aggregates in constant memory.
+    so a group holding a third of all rows still aggregates in constant memory. An absent
+    column fails its check; only optional checks are skipped, and none with ``skip_optional``
+    off (a table that must have its tokens).
     """
     group_by = group_by or []
     aggs: list[Column] = []
     results: list[Column] = []
-    for i, e in enumerate(applicable(df, suite)):
-        a, r = _compile(e, i, accuracy)
+    have = set(df.columns)
+    for i, e in enumerate(applicable(df, suite, skip_optional)):
+        a, r = _compile(e, i, accuracy) if have.issuperset(e.columns()) else _absent(e, i)
         aggs.extend(a)  # repeated count(1) terms are merged by the planner
         results.append(r)
     stats = df.groupBy(*group_by).agg(*aggs)

@@ -32,10 +32,12 @@ def scd2_merge(
     - otherwise: unchanged (a re-run with the same source adds nothing)
 
     ``as_of`` is a parameter, so a re-run is reproducible. Closed rows of the history
-    pass through untouched. Rows are matched with one full outer join on the key.
+    pass through untouched. A key that the source repeats counts once (greatest values);
+    :func:`duplicate_source_keys` reports it. Rows are matched with one full outer join on the key.
     """
     now = _ts(as_of)
-    src = source.select(key, *check_cols)
+    # One row a key: of several, the one with the greatest values, so a re-run picks the same.
+    src = source.groupBy(key).agg(F.max(F.struct(*check_cols)).alias("__v")).select(key, *[F.col(f"__v.{x}").alias(x) for x in check_cols])
     if history is None:
         return _versions(src, key, check_cols, now)
     closed = history.filter(F.col("valid_to").isNotNull())
@@ -67,6 +69,11 @@ def scd2_merge(
     return closed.select(*cols).unionByName(kept).unionByName(closing).unionByName(inserts)
 
 
+def duplicate_source_keys(source: DataFrame, key: str) -> DataFrame:
+    """(key, rows) of keys that the source has more than once: a failed check of the snapshot."""
+    return source.groupBy(key).agg(F.count("*").alias("rows")).where(F.col("rows") > 1)
+
+
 def snapshot_id(key: Column, updated_at: Column) -> Column:
     """Snapshot row id: md5 of the '|'-joined string forms, NULL as '' (snapshot convention)."""
     return F.md5(F.concat_ws("|", F.coalesce(key.cast("string"), F.lit("")), F.coalesce(updated_at.cast("string"), F.lit(""))))

@@ -2,8 +2,8 @@
 
 Every stage boundary is a stored table, so a lost executor or a failed stage re-runs
 from the last table, never from the landing file. Writes are dynamic partition
-overwrites restricted to the target month: re-running a month (or loading months out
-of order) gives the same tables. The gate does not branch on the driver: rows of a
+overwrites restricted to the target month, and a table that gets no row of the month has
+it cleared: re-running a month (or loading months out of order) gives the same tables. The gate does not branch on the driver: rows of a
 passing month flow to silver, rows of a failing month to quarantine, both from one
 verdict frame.
 """
@@ -16,6 +16,7 @@ import time
 import uuid
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,7 +25,7 @@ from strata.operators.quality import expectations as X
 from strata.ops.audit import DAG_ID, AuditRecord, append_audit, audit_frame
 from strata.plans.models import RunParams
 from strata.session import scratch_path
-from strata.sinks.writers import append, overwrite_partitions
+from strata.sinks.writers import append, clear_partitions, overwrite_partitions, replace
 from strata.sizing import bounded_broadcast
 from strata.sources.landing import build_manifest, landing_path, read_landing
 
@@ -60,10 +61,41 @@ def table_schema(spark: SparkSession, path: str):
     """Schema of a stored table whose files may differ by added columns (additive evolution)."""
     if not _exists(spark, path):
         return None
-    return spark.read.option("mergeSchema", "true").parquet(path).drop(PM).schema
+    try:
+        return spark.read.option("mergeSchema", "true").parquet(path).drop(PM).schema
+    except AnalysisException as e:  # a folder without files: no month has had a row so far
+        if e.getCondition() == "UNABLE_TO_INFER_SCHEMA":
+            return None
+        raise
 
 
-def run_month(
+def _delete(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def run_month(spark: SparkSession, tables: Tables, landing_root: str, month: dt.date, params: RunParams = RunParams(), **kw) -> dict:
+    """:func:`load_month` with its outcome on record.
+
+    The month leaves the table of loaded months before the first write and returns to it after the
+    last, so a crash leaves it to be loaded again. A crash also leaves a FAILED audit row.
+    """
+    month = dt.date(month.year, month.month, 1)
+    started = dt.datetime.now(dt.timezone.utc).replace(microsecond=0, tzinfo=None)
+    clear_partitions(spark, tables.loaded_months, "month", [month])
+    try:
+        return load_month(spark, tables, landing_root, month, params, **kw)
+    except Exception as e:
+        rec = AuditRecord(
+            run_id=params.run_id, dag_id=DAG_ID, task_id="run_month", layer="bronze", table_name="bronze.trips",
+            started_at=started, finished_at=dt.datetime.now(dt.timezone.utc).replace(microsecond=0, tzinfo=None),
+            status="FAILED", source_url=landing_root, ge_pass_rate=0.0, error_message=str(e),
+        )
+        append_audit(audit_frame(spark, [rec]), tables.pipeline_audit)
+        raise
+
+
+def load_month(
     spark: SparkSession,
     tables: Tables,
     landing_root: str,
@@ -103,7 +135,7 @@ def run_month(
     # strays are kept per landing month, so another month's strays never replace them
     strays = overwrite_partitions(
         staged.filter(F.col("_route") == "late_or_early").withColumn("_landing_month", F.lit(month)),
-        tables.late_or_early, "_landing_month",
+        tables.late_or_early, "_landing_month", [month],
     )
 
     new_lookup = privacy.build_pii_lookup(keep).withColumn(PM, F.lit(month))
@@ -114,7 +146,7 @@ def run_month(
 
     # gate on the stored month; the verdict is one row, materialised once
     b = _read(spark, tables.bronze, month, bronze)
-    results = X.evaluate_suite(b, suite, [PM])
+    results = X.evaluate_suite(b, suite, [PM], skip_optional=False)
     verdict = X.gate_verdict(results, [PM], "bronze").checkpoint(eager=True)
     passed, failed = X.route(b, verdict, [PM])
     quarantine = failed.select(
@@ -136,12 +168,19 @@ def run_month(
     f = _read(spark, tables.fct_trips, month, fct)
     overwrite_partitions(facts.fct_trips_daily(f, params.transformed_at), tables.fct_trips_daily, PM, [month])
     if zone_seed is not None:
+        replace(zone_seed, tables.zone_seed)
+    if _exists(spark, tables.zone_seed):  # a run without a seed uses the stored one
+        zone_seed = spark.read.parquet(tables.zone_seed)
         zone = dims.dim_zone(silver.stg_zone(zone_seed, params.transformed_at))
         overwrite_partitions(facts.fct_zone_revenue_monthly(f, zone, params.transformed_at),
                              tables.fct_zone_revenue_monthly, PM, [month])
+    else:
+        clear_partitions(spark, tables.fct_zone_revenue_monthly, PM, [month])
     overwrite_partitions(facts.fct_tokenization_audit(f, params.transformed_at), tables.fct_tokenization_audit, PM, [month])
 
-    v = verdict.first()
+    # A month without rows has no group to judge: it fails the gate by rule.
+    empty = {"success": False, "suite_name": "bronze", "pass_rate": 0.0, "failed_expectations": ["empty_month:table"]}
+    v = verdict.first() or empty
     status = "SUCCESS" if v["success"] else "QUARANTINED"
     rec = AuditRecord(
         run_id=params.run_id, dag_id=DAG_ID, task_id="run_month", layer="bronze", table_name="bronze.trips",
@@ -150,6 +189,9 @@ def run_month(
         ge_suite_name=v["suite_name"], ge_pass_rate=v["pass_rate"], ge_failed_expectations=list(v["failed_expectations"]),
     )
     append_audit(audit_frame(spark, [rec]), tables.pipeline_audit)
+    done = spark.createDataFrame([(month, params.run_id, status)], "month date, run_id string, status string")
+    overwrite_partitions(done, tables.loaded_months, "month", [month])
+    _delete(spark, stage)
     return {"month": month, "bronze": rows_bronze, "strays": strays, "quarantined": rows_quarantined,
             "silver": rows_silver, "fct": rows_fct, "status": status}
 
@@ -167,8 +209,9 @@ def backfill(
     """The same monthly run over an inclusive month range, skipping loaded months unless
     ``force``. Months run one after another, which bounds memory like the monthly job."""
     requested = ingest.month_sequence(spark, start, end)
-    if _exists(spark, tables.bronze) and not force:
-        loaded = spark.read.parquet(tables.bronze).select(F.col(PM).alias("month")).distinct()
+    if _exists(spark, tables.loaded_months) and not force:
+        stored = "run_id string, status string, month date"
+        loaded = spark.read.schema(stored).parquet(tables.loaded_months).select("month").distinct()
         todo = ingest.months_to_load(requested, loaded)
     else:
         todo = requested

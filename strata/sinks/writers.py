@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -18,13 +18,15 @@ def overwrite_partitions(
     """Idempotent dynamic partition overwrite; returns the rows written.
 
     With ``months`` only rows of those partitions are written, so stray rows of a
-    neighbouring month can never replace that month's partition. The count comes from
-    an Observation on the same job (no second scan).
+    neighbouring month can never replace that month's partition, and a named partition
+    that receives no row is cleared: dynamic overwrite alone would leave its old rows.
+    The counts come from an Observation on the same job (no second scan).
     """
     if months:
         df = df.filter(F.col(partition_col).isin([F.lit(m) for m in months]))
     obs = Observation("rows_written")
-    observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
+    per_month = [F.count_if(F.col(partition_col) == F.lit(m)).alias(f"m{i}") for i, m in enumerate(months or [])]
+    observed = df.observe(obs, F.count(F.lit(1)).alias("rows"), *per_month)
     (
         observed.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
@@ -32,7 +34,16 @@ def overwrite_partitions(
         .format(fmt)
         .save(path)
     )
-    return int(obs.get["rows"])
+    found = obs.get
+    clear_partitions(df.sparkSession, path, partition_col, [m for i, m in enumerate(months or []) if not found[f"m{i}"]])
+    return int(found["rows"])
+
+
+def clear_partitions(spark: SparkSession, path: str, partition_col: str, months: list[dt.date]) -> None:
+    """Remove the named partitions of a stored table; those that are not there are no error."""
+    for m in months:
+        part = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{partition_col}={m.isoformat()}")
+        part.getFileSystem(spark._jsc.hadoopConfiguration()).delete(part, True)
 
 
 def append(df: DataFrame, path: str, partition_cols: list[str] | None = None, fmt: str = "parquet") -> int:
