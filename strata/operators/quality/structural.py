@@ -84,6 +84,21 @@ FCT_ZONE_REVENUE_TESTS = [
     not_null("pu_location_id"), not_null("trip_count"),
 ]
 FCT_TOKEN_AUDIT_TESTS = [not_null("audit_id"), unique("audit_id"), not_null("salt_version")]
+DIM_PAYMENT_TYPE_TESTS = [not_null("payment_type_id"), unique("payment_type_id"), not_null("payment_type_desc")]
+DIM_RATE_CODE_TESTS = [not_null("rate_code_id"), unique("rate_code_id"), not_null("rate_code_desc")]
+DIM_VENDOR_TESTS = [not_null("vendor_id"), unique("vendor_id"), not_null("vendor_name")]
+DIM_ZONE_TESTS = [
+    not_null("location_id"), unique("location_id"), not_null("zone_sk"), unique("zone_sk"),
+    not_null("zone_name"), not_null("borough"),
+]
+DIM_DATE_TESTS = [
+    not_null("date_day"), unique("date_day"), not_null("date_key"), unique("date_key"),
+    not_null("year"), not_null("is_weekend"),
+]
+ZONE_SNAPSHOT_TESTS = [not_null("location_id"), not_null("scd_id"), unique("scd_id"), not_null("valid_from")]
+
+# Not declared, but what every version interval must satisfy.
+ZONE_SNAPSHOT_ORDER = expression_is_true("valid_to", "valid_to IS NULL OR valid_to > valid_from")
 
 
 def _row_conditions(df: DataFrame, tests: list[Test], dims: dict[str, DataFrame] | None,

@@ -27,7 +27,7 @@ from strata.plans.models import RunParams
 from strata.session import scratch_path
 from strata.sinks.writers import append, clear_partitions, overwrite_partitions, replace
 from strata.sizing import bounded_broadcast
-from strata.sources.landing import build_manifest, landing_path, read_landing
+from strata.sources.landing import checked_files, landing_path, read_landing
 
 PM = "pickup_month"
 
@@ -104,22 +104,26 @@ def load_month(
     suite: list = X.BRONZE_SUITE,
     zone_seed: DataFrame | None = None,
     quarantine_mode: str = "replace",
+    verify_sha: bool = True,
 ) -> dict:
     """Load one month end to end; returns row counts and the gate outcome.
 
     ``quarantine_mode``: ``replace`` (default) overwrites the month's quarantine partition, so a
     re-run does not duplicate rows; ``append`` keeps every run's copy, told apart by
     ``_quarantine_run_id``.
+
+    ``verify_sha``: hash the landing file and compare it with its declared manifest; see
+    :func:`strata.sources.landing.checked_files`.
     """
     started = dt.datetime.now(dt.timezone.utc).replace(microsecond=0, tzinfo=None)
     t0 = time.time()
     month = dt.date(month.year, month.month, 1)
     raw = read_landing(spark, landing_root, [month])
-    # each row carries its file and that file's sha256, recomputed on executors (one
-    # row per file, so the manifest side is broadcast after a size check)
-    files = build_manifest(spark, os.path.join(landing_path(landing_root, month.year, month.month), "*"),
-                           count_rows=False).select(F.col("path").alias("_source_file"), F.col("sha256").alias("_sha"))
-    raw = raw.join(bounded_broadcast(files, 1_000_000), "_source_file", "left")
+    # each row carries its file and that file's sha256; a folder that differs from its declared
+    # manifest is refused (one row per file, so this side is broadcast after a size check)
+    files = checked_files(spark, landing_path(landing_root, month.year, month.month), verify_sha)
+    files = files.select(F.col("path").alias("_source_file"), F.coalesce("sha256", F.raise_error(F.lit("no sha256"))).alias("_sha"))
+    raw = raw.join(bounded_broadcast(files), "_source_file", "left")
     target = table_schema(spark, tables.bronze)
     bronze_u = ingest.bronze_from_landing(
         raw.drop("year", "month"), params.run_id, F.col("_source_file"), F.col("_sha"), params.ingested_at,

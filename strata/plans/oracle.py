@@ -376,6 +376,8 @@ def structural_sql(model: str, table: str, tests, dims: dict[str, str] | None =
             out.append(head + f"COUNT(*) FILTER (WHERE {c} IS NOT NULL AND NOT {rng}) AS failures FROM {table}")
         elif t.kind == "unique":
             out.append(head + f"COUNT(*) AS failures FROM (SELECT {c} FROM {table} WHERE {c} IS NOT NULL GROUP BY {c} HAVING COUNT(*) > 1)")
+        elif t.kind == "expression_is_true":
+            out.append(head + f"COUNT(*) FILTER (WHERE NOT coalesce({t.args['expression']}, FALSE)) AS failures FROM {table}")
         elif t.kind == "relationships":
             d = dims[t.args["to"]]
             out.append(head + f"COUNT(*) AS failures FROM {table} WHERE {c} IS NOT NULL AND {c} NOT IN (SELECT {t.args['field']} FROM {d})")

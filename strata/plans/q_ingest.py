@@ -203,16 +203,15 @@ def q_erase_subjects(spark, sf_dir):
 
 # -- dimensions -----------------------------------------------------------------
 
+DATE_SPINE_SQL = """spine AS (
+  SELECT CAST(unnest(generate_series(min(CAST(pickup_at AS DATE)), max(CAST(pickup_at AS DATE)), INTERVAL 1 DAY)) AS DATE) AS d
+  FROM fct)"""
 
 @register(
     "dim_date",
     O.with_(
         O.CHAIN_FCT
-        + [
-            """spine AS (
-  SELECT CAST(unnest(generate_series(min(CAST(pickup_at AS DATE)), max(CAST(pickup_at AS DATE)), INTERVAL 1 DAY)) AS DATE) AS d
-  FROM fct)"""
-        ],
+        + [DATE_SPINE_SQL],
         """SELECT d AS date_day, CAST(strftime(d, '%Y%m%d') AS INTEGER) AS date_key, CAST(year(d) AS INTEGER) AS year,
   CAST(quarter(d) AS INTEGER) AS quarter, CAST(month(d) AS INTEGER) AS month,
   CAST(weekofyear(d) AS INTEGER) AS week_of_year, CAST(day(d) AS INTEGER) AS day_of_month,

@@ -9,6 +9,7 @@ from strata.operators.quality import drift, reconcile, structural
 from strata.operators.quality import expectations as X
 from strata.operators.quality.quarantine import quarantine_month, quarantine_rows
 from strata.plans import oracle as O
+from strata.plans import q_ingest
 from strata.plans.registry import models, register
 from strata.sources import testbed
 
@@ -160,6 +161,47 @@ def q_structural_tests(spark, sf_dir):
     return out
 
 
+def _dims_oracle() -> str:
+    parts = (
+        O.structural_sql("dim_payment_type", "dim_payment_type", structural.DIM_PAYMENT_TYPE_TESTS)
+        + O.structural_sql("dim_rate_code", "dim_rate_code", structural.DIM_RATE_CODE_TESTS)
+        + O.structural_sql("dim_vendor", "dim_vendor", structural.DIM_VENDOR_TESTS)
+        + O.structural_sql("dim_taxi_zone", "zone_now", structural.DIM_ZONE_TESTS)
+        + O.structural_sql("dim_date", "days", structural.DIM_DATE_TESTS)
+        + O.structural_sql("dim_taxi_zone_snapshot", "h3", [*structural.ZONE_SNAPSHOT_TESTS, structural.ZONE_SNAPSHOT_ORDER])
+    )
+    zone_now = """zone_now AS (
+  SELECT location_id, md5(CAST(location_id AS VARCHAR)) AS zone_sk, zone_name, borough FROM h3 WHERE valid_to IS NULL)"""
+    days = """days AS (
+  SELECT d AS date_day, CAST(strftime(d, '%Y%m%d') AS INTEGER) AS date_key, year(d) AS year,
+    dayofweek(d) IN (0, 6) AS is_weekend
+  FROM spine)"""
+    body = "SELECT *, failures = 0 AS passed FROM (\n" + "\nUNION ALL\n".join(parts) + "\n)"
+    ctes = O.CHAIN_GOLD + [O.VENDOR, O.RATE] + q_ingest._scd_sql_ctes() + [q_ingest.DATE_SPINE_SQL, zone_now, days]
+    return O.with_(ctes, body)
+
+
+@register("structural_tests_dims", _dims_oracle())
+def q_structural_tests_dims(spark, sf_dir):
+    """The declared tests of the dimensions and the zone snapshot, and the order of its intervals."""
+    m = models(spark, sf_dir)
+    history = q_ingest.zone_history(spark, sf_dir)
+    days = dims.with_date_attributes(dims.date_spine_for(m.fct_trips, "pickup_at"))
+    suites = [
+        (m.dim_payment_type, "dim_payment_type", structural.DIM_PAYMENT_TYPE_TESTS),
+        (m.dim_rate_code, "dim_rate_code", structural.DIM_RATE_CODE_TESTS),
+        (m.dim_vendor, "dim_vendor", structural.DIM_VENDOR_TESTS),
+        (dims.dim_zone(history), "dim_taxi_zone", structural.DIM_ZONE_TESTS),
+        (days, "dim_date", structural.DIM_DATE_TESTS),
+        (history, "dim_taxi_zone_snapshot", [*structural.ZONE_SNAPSHOT_TESTS, structural.ZONE_SNAPSHOT_ORDER]),
+    ]
+    out = None
+    for frame, name, tests in suites:
+        r = structural.run_structural_tests(spark, frame, name, tests)
+        out = r if out is None else out.unionByName(r)
+    return out
+
+
 @register(
     "fk_violations",
     O.with_(
@@ -182,6 +224,22 @@ def q_duplicate_keys(spark, sf_dir):
     return structural.duplicate_keys(models(spark, sf_dir).fct_trips, ["trip_id"])
 
 
+@register(
+    "duplicate_keys_relanded",
+    O.with_(
+        O.CHAIN_FCT,
+        """SELECT trip_id, count(*) * 2 AS occurrences FROM fct
+WHERE pickup_month IN (SELECT min(pickup_month) FROM fct) GROUP BY trip_id""",
+    ),
+)
+def q_duplicate_keys_relanded(spark, sf_dir):
+    """Keys found more than once after the first month was landed a second time."""
+    f = models(spark, sf_dir).fct_trips.select("trip_id", "pickup_month")
+    first = f.agg(F.min("pickup_month").alias("pickup_month"))
+    again = f.join(F.broadcast(first), "pickup_month", "left_semi")  # one row
+    return structural.duplicate_keys(f.unionByName(again), ["trip_id"])
+
+
 # -- drift ----------------------------------------------------------------------
 
 _EVENTS_SPLIT = "2024-01-16 00:00:00"

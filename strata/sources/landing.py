@@ -62,20 +62,21 @@ def read_manifest(spark: SparkSession, *paths: str) -> DataFrame:
     return spark.createDataFrame(rows, MANIFEST_SCHEMA)
 
 
-def build_manifest(spark: SparkSession, path_glob: str, count_rows: bool = True) -> DataFrame:
+def build_manifest(spark: SparkSession, path: str, count_rows: bool = True, hashes: bool = True) -> DataFrame:
     """Recompute (path, sha256, byte_size, row_count) for data files, distributed over files.
 
-    The bytes come from the ``binaryFile`` source (one row per file, files under 2 GB);
-    row counts come from the Parquet footers' row groups via a count per
-    ``_metadata.file_path``. Both sides are one row per file.
+    ``path`` is a folder, a file or a glob of Parquet files; names are as in ``_metadata.file_path``,
+    so they match the rows read from these files whatever characters they hold. Hashing reads whole
+    files through the ``binaryFile`` source (files under 2 GB); without ``hashes`` only the listing
+    is read and ``sha256`` is NULL. Row counts need no column. Both sides are one row per file.
     """
-    files = spark.read.format("binaryFile").load(path_glob).select(
-        F.col("path"), F.sha2(F.col("content"), 256).alias("sha256"), F.col("length").alias("byte_size")
-    )
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path)
+    sha = F.sha2(F.col("content"), 256) if hashes else F.lit(None).cast("string")
+    files = files.select(F.col("_metadata.file_path").alias("path"), sha.alias("sha256"), F.col("length").alias("byte_size"))
     if not count_rows:
         return files
     counts = (
-        spark.read.parquet(path_glob)
+        spark.read.option("pathGlobFilter", "*.parquet").parquet(path)
         .select(F.col("_metadata.file_path").alias("path"))
         .groupBy("path")
         .agg(F.count("*").alias("row_count"))
@@ -83,6 +84,45 @@ def build_manifest(spark: SparkSession, path_glob: str, count_rows: bool = True)
     return files.join(counts, "path", "left")
 
 
+def declared_manifest(spark: SparkSession, folder: str) -> DataFrame | None:
+    """The sidecar of a landing folder, or None where nothing is declared."""
+    path = os.path.join(folder, "_manifest.json")
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p):
+        return None
+    return read_manifest(spark, path)
+
+
+class ManifestMismatch(ValueError):
+    """A landing folder does not hold what its sidecar declares."""
+
+
+def checked_files(spark: SparkSession, folder: str, verify_sha: bool = True) -> DataFrame:
+    """(path, sha256) of a landing folder's files, after a check against its sidecar.
+
+    The sidecar describes one landing file: its bytes and rows must be those of the folder, and with
+    ``verify_sha`` its sha256 that of the file. Without ``verify_sha`` file contents are not read
+    (files of any size) and the declared sha256 stands. Without a sidecar the hashes are computed.
+    """
+    declared = declared_manifest(spark, folder)
+    if declared is None:
+        return build_manifest(spark, folder, count_rows=False).select("path", "sha256")
+    d = declared.first()
+    files = build_manifest(spark, folder, hashes=verify_sha)
+    found = files.agg(
+        F.sum("byte_size").alias("byte_size"), F.sum("row_count").alias("row_count"),
+        F.count(F.lit(1)).alias("files"), F.min("sha256").alias("sha256"),
+    ).first()
+    wrong = [c for c in ("byte_size", "row_count") if found[c] != d[c]]
+    if found["files"] != 1:
+        wrong.append("files")
+    elif not d["sha256"] or (verify_sha and found["sha256"] != d["sha256"]):
+        wrong.append("sha256")
+    if wrong:
+        raise ManifestMismatch(f"{folder}: {', '.join(wrong)} differ from the declared manifest")
+    return files.select("path", F.lit(d["sha256"]).alias("sha256"))
+
+
 def validate_manifest(declared: DataFrame, recomputed: DataFrame, key: str = "path") -> DataFrame:
     """Per file: declared vs recomputed hash / size / rows and a verdict."""
     d = declared.select(

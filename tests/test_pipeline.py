@@ -1,8 +1,12 @@
 """Monthly run end to end: idempotent re-runs, order independence, strays, backfill."""
 
 import datetime as dt
+import glob
+import hashlib
+import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from strata.operators.quality import expectations as X
@@ -10,6 +14,7 @@ from strata.ops.profile import partition_fingerprint
 from strata.plans.monthly import Tables, backfill, land_months, run_month
 from strata.sinks.writers import overwrite_partitions
 from strata.sources import testbed
+from strata.sources.landing import ManifestMismatch, landing_path
 
 SF = "/root/testdata/sf0.001"
 SUITE = [X.E(X.ROW_COUNT, min_value=1, max_value=10**9), X.E(X.BETWEEN, column="PULocationID", min_value=1, max_value=265)]
@@ -111,3 +116,30 @@ def test_quarantine_append_mode_keeps_every_run(spark, tmp_dir):
     q = spark.read.parquet(t.quarantine)
     assert q.count() == 2 * a["quarantined"]
     assert {r[0] for r in q.select("_quarantine_run_id").distinct().collect()} == {"r1", "r2"}
+
+
+def test_declared_manifest_is_checked_before_loading(spark, tmp_dir):
+    base = os.path.join(tmp_dir, "with space")  # paths that Spark encodes
+    raw = testbed.trips_raw(spark, SF).filter(F.date_trunc("month", "tpep_pickup_datetime") == F.lit(JAN))
+    land_months(raw.coalesce(1), os.path.join(base, "landing"), F.lit(JAN))
+    root = os.path.join(base, "landing")
+    folder = landing_path(root, 1996, 1)
+    file = glob.glob(os.path.join(folder, "*.parquet"))[0]
+    sha = hashlib.sha256(open(file, "rb").read()).hexdigest()
+    rec = {"url": "x", "sha256": sha, "byte_size": os.path.getsize(file), "row_count": raw.count(), "ingested_at": "t"}
+
+    def declare(**change):
+        with open(os.path.join(folder, "_manifest.json"), "w") as f:
+            json.dump(rec | change, f)
+
+    t = Tables(os.path.join(base, "w"))
+    for change in ({"row_count": rec["row_count"] + 1}, {"byte_size": 1}, {"sha256": "0" * 64}):
+        declare(**change)
+        with pytest.raises(ManifestMismatch, match=next(iter(change))):
+            run_month(spark, t, root, JAN, suite=SUITE)
+    assert not os.path.exists(t.bronze)
+    assert {r.status for r in spark.read.parquet(t.pipeline_audit).collect()} == {"FAILED"}
+    declare()
+    for verify in (True, False):
+        assert run_month(spark, t, root, JAN, suite=SUITE, verify_sha=verify)["status"] == "SUCCESS"
+        assert [r[0] for r in spark.read.parquet(t.bronze).select("_source_sha256").distinct().collect()] == [sha]
