@@ -2,7 +2,6 @@
 
 import json
 
-
 from strata.operators.quality import expectations as X
 from strata.operators.quality import structural as S
 from strata.operators.quality.quarantine import quarantine_month, quarantine_rows
@@ -51,9 +50,17 @@ def test_pair_and_set_and_length_and_not_null(spark):
     assert r[(None, 3)].success
 
 
-def test_absent_columns_are_skipped(spark):
-    suite = [X.E(X.NOT_NULL, column="missing_col"), X.E(X.ROW_COUNT, min_value=0, max_value=9)]
-    assert X.evaluate_suite(frame(spark), suite).count() == 1
+def test_absent_columns_fail_but_for_optional_checks(spark):
+    absent = X.E(X.NOT_NULL, column="missing_col")
+    optional = X.E(X.NOT_NULL, column="missing_token")  # token checks only
+    rows = X.E(X.ROW_COUNT, min_value=0, max_value=9)
+
+    def outcome(*suite, **kw):
+        return [r.success for r in X.evaluate_suite(frame(spark), list(suite), **kw).orderBy("expectation_id").collect()]
+
+    assert outcome(absent, rows) == [False, True]
+    assert outcome(optional, rows) == [True]
+    assert outcome(optional, rows, skip_optional=False) == [False, True]
 
 
 def test_verdict_route_and_quarantine(spark):
