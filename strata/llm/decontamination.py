@@ -1,18 +1,17 @@
-"""Benchmark decontamination: size-partitioned MinHash containment search, verified exactly.
+"""Benchmark decontamination: containment search by an index of the items' rarest shingles, exact.
 
 Items are sets of 5-word shingles of letters and digits (A-Z lower-cased, everything else ASCII cuts
-words). A document holds an item if at least PERCENT of the item's shingles are in the document.
+words). A document holds an item if at least PERCENT of the item's shingles are in the document,
+wherever they stand in it.
 
-Searched are blocks of a document: BLOCK successive shingles, half overlapping, so a short passage
-lies whole in a block however long the document is, and its Jaccard similarity with the block stays
-high. Every block has a MinHash signature of HASHES values and belongs to the partition of its size.
-For an item and a partition the containment limit gives the least similarity of a holding block, and
-from it the number of rows a band may have for a miss to stay below MISS; the item's bands are
-looked up in the bands of all blocks. Candidates are then verified on the whole document's shingles.
+A document that holds an item of n shingles lacks at most n - ceil(PERCENT * n) of them, so of any one
+more than that it has at least one. Every item is therefore listed under so many of its shingles, the
+rarest among the items, and each shingle of a document is looked up in these lists: no item that is
+held is passed over, however short or scattered it is. The pairs found are then counted on whole sets.
 
-Every row of documents is signed and searched, in one pass and without a shuffle. The items are the
-stated query set: they go to the tasks in blocks of about ITEM_BYTES of text, one pass over the
-documents for each, so what is sent is bounded whatever the size of the benchmark.
+Every row of documents is searched, in one pass and without a shuffle. The items are the stated query
+set: they go to the tasks in blocks of about ITEM_BYTES of text, one pass over the documents for each,
+so what is sent is bounded whatever the size of the benchmark.
 
 Defined results: null and empty documents and items hold nothing and are held by nothing. A text of
 fewer than five words is one shingle, its whole sequence, and meets only a text of just these words.
@@ -31,114 +30,82 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm.common import slices, table
-from strata.llm.tokens import _BASE, NOT_ALNUM, Words, distinct, mix, shingles
+from strata.llm.tokens import NOT_ALNUM, Words, distinct, owners, shingles
 
 WORDS, PERCENT = 5, 80
-HASHES, BLOCK, MISS = 64, 64, 1e-5
-#: Upper sizes of the partitions of blocks, and rows a band may have.
-PARTITIONS, ROWS = (8, 16, 32, 64), (4, 2, 1)
 ITEM_BYTES = 8 << 20
-_FLIP = mix(np.arange(1, HASHES + 1, dtype=np.uint64) * _BASE)
-_TIMES = mix(np.arange(1001, HASHES + 1001, dtype=np.uint64) * _BASE) | np.uint64(1)
+#: Entries of lists, or shingles of items, that are looked at together.
+CHUNK = 1 << 20
 
 
-def signatures(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """MinHash values (sets, HASHES) of the runs of ``values`` that begin at ``starts``."""
-    out = np.empty((len(starts), HASHES), np.uint64)
-    for j in range(HASHES):
-        out[:, j] = np.minimum.reduceat((values ^ _FLIP[j]) * _TIMES[j], starts)
-    return out
-
-
-def blocks(bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Half blocks' starts, then for each block its text, its first half and its size (one or two halves)."""
-    half = BLOCK // 2
-    n = np.diff(bounds)
-    halves = -(-n // half)
-    first = np.cumsum(halves) - halves
-    own = np.repeat(np.arange(len(n)), halves)
-    place = np.arange(len(own)) - first[own]
-    starts = bounds[own] + place * half
-    begins = (place < halves[own] - 1) | (halves[own] == 1)  # the last half of several begins no block
-    at = np.flatnonzero(begins)
-    size = np.minimum(bounds[own[at] + 1] - starts[at], BLOCK)
-    return starts, own[at], at, size
-
-
-def rows_for(size: int, upper: int) -> int:
-    """Rows of a band for an item of ``size`` shingles in a partition up to ``upper``."""
-    held = PERCENT / 100 * min(size, upper)
-    likeness = held / (upper + size - held)
-    return next((r for r in ROWS if (1 - likeness**r) ** (HASHES // r) <= MISS), 1)
+def _runs(first: np.ndarray, many: np.ndarray) -> np.ndarray:
+    """first[0], first[0] + 1, ... (many[0] of them), then the same for the next."""
+    return np.repeat(first - (np.cumsum(many) - many), many) + np.arange(many.sum())
 
 
-def bands(signature: np.ndarray, r: int) -> np.ndarray:
-    """One 64-bit key for each band of r rows, different in every band."""
-    n = signature.shape[1] // r
-    keys = np.zeros((len(signature), n), np.uint64)
-    for i in range(r):
-        keys = keys * _BASE + signature[:, i::r][:, :n]
-    return keys * _BASE + mix(np.arange(n, dtype=np.uint64) + np.uint64(r * 1000))
+def _chunks(many: np.ndarray) -> Iterator[slice]:
+    """Slices of ``many`` that sum to about CHUNK (one element at least)."""
+    total, at = np.cumsum(many), 0
+    while at < len(many):
+        to = max(at + 1, int(np.searchsorted(total, (total[at - 1] if at else 0) + CHUNK, "right")))
+        yield slice(at, to)
+        at = to
 
 
 @dataclass(frozen=True)
 class Items:
-    """A block of the benchmark: ids, distinct shingles with bounds, and band keys by partition and rows."""
+    """A block of the benchmark: ids, distinct shingles with bounds, and lists of items by shingle."""
 
     ids: list
-    values: np.ndarray
     bounds: np.ndarray
-    #: (partition, rows): sorted band keys and the item of each
-    index: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]]
+    #: The shingles of all items in ascending order, and the place in it of each item's shingles.
+    vocabulary: np.ndarray
+    places: np.ndarray
+    #: The items listed under shingle v are lists[first[v] : first[v + 1]].
+    lists: np.ndarray
+    first: np.ndarray
 
     @staticmethod
     def of(ids: list, texts: list[str | None]) -> Items:
         values, bounds = distinct(*shingles(Words(pa.array(texts, pa.string()), breaks=NOT_ALNUM), WORDS))
-        some = np.flatnonzero(np.diff(bounds) > 0)
-        index = {}
-        if len(some):
-            signed = signatures(values, bounds[some])
-            for upper in PARTITIONS:
-                rows = np.array([rows_for(int(n), upper) for n in np.diff(bounds)[some]])
-                for r in sorted(set(rows.tolist())):
-                    keys = bands(signed[rows == r], r)
-                    items = np.repeat(some[rows == r], keys.shape[1])
-                    order = np.argsort(keys.ravel(), kind="stable")
-                    index[upper, r] = keys.ravel()[order], items[order]
-        return Items(ids, values, bounds, index)
-
-    def candidates(self, values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-        """Distinct (text, item) pairs of which a block shares a band."""
-        if not len(values) or not self.index:
-            return np.zeros((0, 2), np.int64)
-        starts, text, first, size = blocks(bounds)
-        halves = signatures(values, starts)
-        second = np.where(size > BLOCK // 2, first + 1, first)
-        signed = np.minimum(halves[first], halves[second])
-        found = []
-        for (upper, r), (keys, items) in self.index.items():
-            lower = max((p for p in PARTITIONS if p < upper), default=0)
-            at = np.flatnonzero((size > lower) & (size <= upper))
-            probe = bands(signed[at], r).ravel()
-            lo = np.searchsorted(keys, probe, "left")
-            hit = np.flatnonzero(keys[np.minimum(lo, len(keys) - 1)] == probe)
-            many = np.searchsorted(keys, probe[hit], "right") - lo[hit]
-            item = items[np.repeat(lo[hit] - (np.cumsum(many) - many), many) + np.arange(many.sum())]
-            block = at[np.repeat(hit, many) // (HASHES // r)]
-            found.append(np.column_stack([text[block], item]))
-        return np.unique(np.concatenate(found), axis=0)
+        vocabulary, places, count = np.unique(values, return_inverse=True, return_counts=True)
+        n, own = np.diff(bounds), owners(bounds)
+        rarest = np.lexsort((places, count[places], own))
+        rank = np.arange(len(values)) - np.repeat(bounds[:-1], n)
+        listed = rank < np.repeat(n - -(-n * PERCENT // 100) + 1, n)
+        token, item = places[rarest[listed]], own[listed]
+        order = np.argsort(token, kind="stable")
+        first = np.searchsorted(token[order], np.arange(len(vocabulary) + 1))
+        return Items(ids, bounds, vocabulary, places, item[order], first)
+
+    def candidates(self, text: np.ndarray, token: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Distinct (text, item) pairs where the text has a shingle that the item is listed under."""
+        many = self.first[token + 1] - self.first[token]
+        text, token, many = text[many > 0], token[many > 0], many[many > 0]
+        found = [np.zeros(0, np.int64)]
+        for c in _chunks(many):
+            item = self.lists[_runs(self.first[token[c]], many[c])]
+            found.append(np.unique(np.repeat(text[c], many[c]) * len(self.ids) + item))
+        return np.divmod(np.unique(np.concatenate(found)), max(1, len(self.ids)))
 
     def held(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(text, item, shared shingles) of every item held by a text, verified on whole sets."""
+        """(text, item, shared shingles) of every item held by a text, counted on whole sets."""
         values, bounds = shingles(Words(column, breaks=NOT_ALNUM), WORDS)
-        pairs = self.candidates(values, bounds)
-        shared, seen, whole = np.zeros(len(pairs), np.int64), -1, None
-        for i, (text, item) in enumerate(pairs.tolist()):
-            if text != seen:
-                seen, whole = text, values[bounds[text] : bounds[text + 1]]
-            shared[i] = np.isin(self.values[self.bounds[item] : self.bounds[item + 1]], whole).sum()
-        good = 100 * shared >= PERCENT * np.diff(self.bounds)[pairs[:, 1]]
-        return pairs[good, 0], pairs[good, 1], shared[good]
+        size = len(self.vocabulary)
+        if not len(values) or not size:
+            return (np.zeros(0, np.int64),) * 3
+        at = np.minimum(np.searchsorted(self.vocabulary, values), size - 1)
+        hit = np.flatnonzero(self.vocabulary[at] == values)
+        have = np.unique((np.searchsorted(bounds, hit, "right") - 1) * size + at[hit])
+        text, item = self.candidates(*np.divmod(have, size))
+        n = np.diff(self.bounds)[item]
+        shared = np.zeros(len(item), np.int64)
+        for c in _chunks(n):
+            probe = np.repeat(text[c], n[c]) * size + self.places[_runs(self.bounds[item[c]], n[c])]
+            there = have[np.minimum(np.searchsorted(have, probe), len(have) - 1)] == probe
+            shared[c] = np.add.reduceat(there, np.cumsum(n[c]) - n[c], dtype=np.int64)
+        good = 100 * shared >= PERCENT * n
+        return text[good], item[good], shared[good]
 
 
 def item_blocks(items: DataFrame) -> Iterator[Items]:

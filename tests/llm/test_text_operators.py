@@ -232,5 +232,17 @@ def test_decontamination_recall_against_brute_force():
     assert got <= want and len(got) >= 0.99 * len(want) and len(want) > 60
 
 
+def test_decontamination_finds_short_items_in_long_documents():
+    items = [words_of(5 + i % 10, 5000 + i) for i in range(400)]  # 1 to 10 shingles
+    docs = []
+    for i, item in enumerate(items):
+        d, at = words_of(400, 9000 + i), (0, 37, 200, 400)[i % 4]
+        docs.append(d[:at] + item + d[at:])
+    block = Items.of(list(range(400)), [" ".join(i) for i in items])
+    text, item, shared = block.held(pa.array([" ".join(d) for d in docs]))
+    assert list(zip(text.tolist(), item.tolist(), strict=True)) == [(i, i) for i in range(400)]
+    assert shared.tolist() == [1 + i % 10 for i in range(400)]
+
+
 def test_digests_are_of_utf8():
     assert hashlib.sha256("é".encode()).hexdigest().startswith("4a99557e")
