@@ -244,5 +244,20 @@ def test_decontamination_finds_short_items_in_long_documents():
     assert shared.tolist() == [1 + i % 10 for i in range(400)]
 
 
+def test_decontamination_finds_scattered_quotations():
+    items = [words_of(59, 20000 + i) for i in range(200)]  # 55 shingles
+    docs = []
+    for i, item in enumerate(items):
+        d = words_of(300, 30000 + i)
+        for a in (0, 15, 30, 44):  # four passages of 11 shingles: 44 of 55
+            d += item[a : a + 15] + words_of(300, 40000 + 100 * i + a)
+        docs.append(" ".join(d))
+    docs.append(docs[0].replace(" ".join(items[0][:15]), " ".join(items[0][:14])))  # 43 of 55
+    block = Items.of(list(range(200)), [" ".join(i) for i in items])
+    text, item, shared = block.held(pa.array(docs))
+    assert list(zip(text.tolist(), item.tolist(), strict=True)) == [(i, i) for i in range(200)]
+    assert set(shared.tolist()) == {44}
+
+
 def test_digests_are_of_utf8():
     assert hashlib.sha256("é".encode()).hexdigest().startswith("4a99557e")
