@@ -20,11 +20,16 @@ step 2 rarest first. Two sets are linked when intersection * 100 >= threshold *
    and a subtree is left as soon as overlap plus remaining length cannot reach the limit.
 5. Links are classes; connected components run over them, and every row gets its component.
 
+For the components it is enough that a block connects what its links connect. ``jaccard_links`` and the
+link counts need every link once: there zone 1 is joined with zones 1 and 2 as well, and a pair that
+meets in several groups counts in that of its smallest common pivot, or in step 3 if one is the other's
+pivot. Counts are summed in the blocks, so a dense group sends no row for each pair.
+
 Groups are never collected: steps 2 and 3 are joins of stored tables that AQE splits, step 4 works
 on blocks. No pairs of copies are made; no link between different texts is lost.
 
 Defined results: null and empty texts have the empty set, linked with nothing. Rows that repeat a
-doc_id are rows of their own. A null doc_id is linked with nothing and gets a null component_id.
+doc_id are rows of their own. A null doc_id is linked with nothing: null component_id, no link counted.
 Empty tables give no row; other columns are not read.
 """
 
@@ -139,7 +144,7 @@ def _count_shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def _whole_sets(docs: DataFrame, k: int) -> DataFrame:
-    """(cid, n, tokens) of the candidate classes; docs has (text, h1, h2) of their smallest documents. cid is h1."""
+    """(cid, n, tokens, copies) of the candidate classes; docs has (text, h1, h2, copies) of their smallest documents. cid is h1."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "text"):
@@ -152,11 +157,12 @@ def _whole_sets(docs: DataFrame, k: int) -> DataFrame:
                     b.column("h1").take(pa.array(at)),
                     pa.array(np.diff(bounds)[at].astype(np.int64)),
                     pa.array([values[bounds[i] : bounds[i + 1]].tobytes() for i in at], pa.binary()),
+                    b.column("copies").take(pa.array(at)),
                 ],
-                ["cid", "n", "tokens"],
+                ["cid", "n", "tokens", "copies"],
             )
 
-    return docs.mapInArrow(run, "cid long, n long, tokens binary")
+    return docs.mapInArrow(run, "cid long, n long, tokens binary, copies long")
 
 
 def _shared_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -292,9 +298,16 @@ class Trie:
 
         Sets for which ``skip`` holds when their turn comes are left out.
         """
+        for i, both in zip(*(x.tolist() for x in self.found(probe)), strict=True):
+            if not skip(i):
+                yield i, both
+
+    def found(self, probe: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Positions and overlaps of all sets linked with ``probe``."""
         n, p = len(probe), self.percent
+        out = [np.zeros((2, 0), np.int64)]
         if not len(self.vocabulary):
-            return
+            return out[0][0], out[0][1]
         at = np.minimum(np.searchsorted(self.vocabulary, probe), len(self.vocabulary) - 1)
         at = at[self.vocabulary[at] == probe]
         self.mark[at] = True
@@ -307,12 +320,12 @@ class Trie:
             reach = (common + rest) * (100 + p) >= p * (n + self.least[node])
             node, common = node[reach], common[reach]
             good = np.flatnonzero((self.end[node] >= 0) & (common * (100 + p) >= p * (n + self.depth[node])))
-            for i, both in zip(self.end[node[good]].tolist(), common[good].tolist(), strict=True):
-                if not skip(i):
-                    yield i, both
+            out.append(np.stack([self.end[node[good]], common[good]]))
             many = self.children[node]
             node, common = np.repeat(self.child[node] - np.cumsum(many) + many, many) + np.arange(many.sum()), np.repeat(common, many)
             common = common + hits[node]
+        ends, shared = np.concatenate(out, axis=1)
+        return ends, shared
 
 
 def _trie_links(percent: int):
@@ -351,17 +364,99 @@ def _trie_links(percent: int):
     return run
 
 
-def class_links(sets: DataFrame, percent: int, n_parts: int) -> DataFrame:
-    """Stored links (a, b) between classes of ``sets`` (cid, n, tokens), enough for the components."""
+def _every_link(percent: int, pairs: bool):
+    """All links of a block that count in this group, each once.
+
+    pairs: rows (a, b); else rows (a, b) that connect what these links connect, and rows (a, a, n)
+    with the copies of the classes linked with a.
+    """
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        out: list[tuple[int, int, int]] = []
+        above: dict[int, int] = {}
+
+        def root(x: int) -> int:
+            while (y := above.get(x, x)) != x:
+                above[x] = above.get(y, y)
+                x = above[x]
+            return x
+
+        pivot = int(rows["pivot"].iloc[0])
+        above |= {int(c): pivot for c in rows.loc[rows["zone"] == 1, "cid"]}
+        count: dict[int, int] = {}
+        for near in (True, False):
+            stored = rows[rows["stored"] & ((rows["zone"] == 1) == near)]
+            probes = rows[~rows["stored"] & (rows["zone"] < 3 if near else rows["zone"] > 1)]
+            if not len(stored) or not len(probes):
+                continue
+            trie = Trie([np.frombuffer(t, np.uint64) for t in stored["tokens"]], percent)
+            ids, copies = stored["cid"].to_numpy(), stored["copies"].to_numpy()
+            total = np.zeros(len(ids), np.int64)
+            # Stored sets by pivot: pairs with a smaller common pivot count there, those of a pivot in step 3.
+            by_pivot: dict[int, list[int]] = {}
+            for i, own in enumerate(stored["pivots"]):
+                for q in own.tolist():
+                    by_pivot.setdefault(q, []).append(i)
+            place = {q: np.array(i) for q, i in by_pivot.items()}
+            at = {c: i for i, c in enumerate(ids.tolist())}
+            for cid, zone, data, many, own in zip(*(probes[c] for c in ("cid", "zone", "tokens", "copies", "pivots")), strict=True):
+                # Sets of like zones meet twice, as stored and as probe.
+                here = np.ones(len(ids), bool) if near and zone == 2 else ids < cid
+                for q in own.tolist():
+                    if q < pivot and q in place:
+                        here[place[q]] = False
+                    elif q in at:
+                        here[at[q]] = False
+                if cid in place:
+                    here[place[cid]] = False
+                if not here.any():
+                    continue
+                found, _ = trie.found(np.frombuffer(data, np.uint64))
+                found = found[here[found]]
+                if not len(found):
+                    continue
+                if pairs:
+                    out += [(int(c), int(cid), 0) for c in ids[found]]
+                    continue
+                total[found] += many
+                count[cid] = count.get(cid, 0) + int(copies[found].sum())
+                for c in ids[found].tolist():
+                    if root(c) != root(cid):
+                        out.append((c, int(cid), 0))
+                        above[root(cid)] = root(c)
+            for i in np.flatnonzero(total).tolist():
+                count[int(ids[i])] = count.get(int(ids[i]), 0) + int(total[i])
+        out += [(c, c, n) for c, n in count.items()]
+        return pd.DataFrame(out, columns=["a", "b", "n"]).astype("int64")
+
+    return run
+
+
+def _zones(sets: DataFrame, percent: int, n_parts: int) -> tuple[DataFrame, DataFrame]:
+    """Stored (cid, pivot) of the groups, and (cid, pivot, n, zone)."""
     rows = store(_prefix_rows(sets, percent, n_parts), "prefixes")
     pivots = rows.groupBy("token").agg(F.min("cid").alias("pivot"), F.max("cid").alias("_max")).where("pivot < _max")
     pivots = store(pivots.select("token", "pivot"), "pivots")
     groups = store(rows.join(pivots, "token").where("cid <> pivot").select("cid", "pivot").distinct(), "groups")
     other = sets.select(F.col("cid").alias("pivot"), F.col("tokens").alias("pivot_tokens"))
     members = groups.join(sets, "cid").join(other, "pivot")
-    zones = store(_against_pivots(members, percent), "zones")
-    links = zones.where("zone = 1").select(F.col("pivot").alias("a"), F.col("cid").alias("b"))
+    return groups, store(_against_pivots(members, percent), "zones")
+
 
+def _block_rows(todo: DataFrame, probing: DataFrame) -> DataFrame:
+    """(pivot, cid, zone, stored, i, j): ``todo`` as stored sets and ``probing`` as probes of the blocks (i, j)."""
+    blocks = F.ceil(F.greatest(F.col("members") / TRIE_SETS, F.col("member_tokens") / TRIE_TOKENS)).cast("int")
+    mine = F.pmod(F.xxhash64("cid"), blocks).cast("int")
+    every = F.sequence(F.lit(0), blocks - 1)
+    kept = todo.select("pivot", "cid", "zone", F.lit(True).alias("stored"), mine.alias("i"), F.explode(every).alias("j"))
+    probe = probing.select("pivot", "cid", "zone", F.lit(False).alias("stored"), F.explode(every).alias("i"), mine.alias("j"))
+    return kept.unionByName(probe)
+
+
+def class_links(sets: DataFrame, percent: int, n_parts: int) -> DataFrame:
+    """Stored links (a, b) between classes of ``sets`` (cid, n, tokens), enough for the components."""
+    _, zones = _zones(sets, percent, n_parts)
+    links = zones.where("zone = 1").select(F.col("pivot").alias("a"), F.col("cid").alias("b"))
     rest = zones.groupBy("pivot").agg(
         F.count_if(F.col("zone") == 2).alias("n2"), F.count_if(F.col("zone") == 3).alias("n3"),
         F.count("*").alias("members"), F.sum("n").alias("member_tokens"),
@@ -369,43 +464,85 @@ def class_links(sets: DataFrame, percent: int, n_parts: int) -> DataFrame:
     # Zone 2 meets everybody, zone 3 meets zones 2 and 3. Zone 1 is stored only where zone 2 has rows.
     rest = store(rest.where("(n2 > 0 OR n3 > 1) AND members > 1"), "group-rest")
     todo = zones.join(rest, "pivot").where("zone > 1 OR n2 > 0")
-    blocks = F.ceil(F.greatest(F.col("members") / TRIE_SETS, F.col("member_tokens") / TRIE_TOKENS)).cast("int")
-    mine = F.pmod(F.xxhash64("cid"), blocks).cast("int")
-    every = F.sequence(F.lit(0), blocks - 1)
-    kept = todo.select("pivot", "cid", "zone", F.lit(True).alias("stored"), mine.alias("i"), F.explode(every).alias("j"))
-    probe = todo.where("zone > 1").select("pivot", "cid", "zone", F.lit(False).alias("stored"), F.explode(every).alias("i"), mine.alias("j"))
-    work = kept.unionByName(probe).join(sets.select("cid", "tokens"), "cid")
+    work = _block_rows(todo, todo.where("zone > 1")).join(sets.select("cid", "tokens"), "cid")
     more = work.groupBy("pivot", "i", "j").applyInPandas(_trie_links(percent), "a long, b long")
     return store(links.unionByName(more), "links")
 
 
-def jaccard_components(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """(doc_id, n_shingles, component_id) of every row of ``docs`` (doc_id, text)."""
-    docs = docs.select("doc_id", "text")
-    n_parts = part_count(docs)
+def every_link(sets: DataFrame, percent: int, n_parts: int, pairs: bool) -> DataFrame:
+    """Stored (a, b, n) of ``sets`` (cid, n, tokens, copies), see ``_every_link``; pairs: every link once."""
+    groups, zones = _zones(sets, percent, n_parts)
+    near = zones.where("zone = 1").select(F.col("pivot").alias("a"), F.col("cid").alias("b"))
+    links = near.withColumn("n", F.lit(0).cast("long"))
+    if not pairs:
+        both = near.unionByName(near.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        both = both.join(sets.select(F.col("cid").alias("b"), "copies"), "b").groupBy("a").agg(F.sum("copies").alias("n"))
+        links = links.unionByName(both.select("a", F.col("a").alias("b"), "n"))
+    rest = zones.groupBy("pivot").agg(F.count("*").alias("members"), F.sum("n").alias("member_tokens"))
+    todo = zones.join(store(rest.where("members > 1"), "group-rest"), "pivot")
+    own = groups.groupBy("cid").agg(F.collect_list("pivot").alias("pivots"))
+    side = store(sets.select("cid", "tokens", "copies").join(own, "cid"), "group-sets")
+    work = _block_rows(todo, todo).join(side, "cid")
+    more = work.groupBy("pivot", "i", "j").applyInPandas(_every_link(percent, pairs), "a long, b long, n long")
+    return store(links.unionByName(more), "links")
+
+
+def _class_sets(docs: DataFrame, k: int, percent: int, n_parts: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The rows (h1, h2, n, doc_id), their classes, and the stored sets of the classes that can have a link."""
     counted = _prefixes(docs, k, percent, EXTRA, n_parts).repartition(n_parts, "part").mapInArrow(_count_shared, "h1 long, h2 long, n long, doc_id long, shared long")
     counted = store(counted, "jaccard-counted")
     texts = counted.where(F.col("h2").isNotNull()).select("h1", "h2", "n", "doc_id")
-    classes = texts.where("n > 0").groupBy("h1", "h2").agg(F.min("doc_id").alias("least_doc"), F.first("n").alias("n"))
+    classes = texts.where("n > 0").groupBy("h1", "h2").agg(F.min("doc_id").alias("least_doc"), F.first("n").alias("n"), F.count("doc_id").alias("copies"))
     classes = store(classes.where("least_doc IS NOT NULL"), "classes")
     shared = counted.where(F.col("shared").isNotNull()).groupBy("h1").agg(F.sum("shared").alias("shared"))
     # A partner has at least percent of the members, and its prefix shares as many as both allow.
     least = F.expr(f"ceil({EXTRA} * ceil({percent} * n / 100) / 100)")
-    able = store(classes.join(shared, "h1").where(F.col("shared") >= least).select("least_doc", "h1", "h2"), "candidates")
+    able = store(classes.join(shared, "h1").where(F.col("shared") >= least).select("least_doc", "h1", "h2", "copies"), "candidates")
     # A doc_id with several texts may stand for several classes; the hashes tell which row is meant.
     picked = F.broadcast(able) if stored_bytes(able) <= BROADCAST_BYTES else able
-    fetched = docs.join(picked, F.col("doc_id") == F.col("least_doc")).select("text", "h1", "h2")
-    sets = store(_whole_sets(fetched, k).dropDuplicates(["cid"]), "sets")
-    found = store(components(class_links(sets, percent, n_parts)), "components")
+    fetched = docs.join(picked, F.col("doc_id") == F.col("least_doc")).select("text", "h1", "h2", "copies")
+    return texts, classes, store(_whole_sets(fetched, k).dropDuplicates(["cid"]), "sets")
+
+
+def jaccard_components(docs: DataFrame, k: int = WORDS, percent: int = PERCENT, count_links: bool = False) -> DataFrame:
+    """(doc_id, n_shingles, component_id) of every row of ``docs`` (doc_id, text).
+
+    count_links: also n_links, the number of other rows (with a doc_id) that the row is linked with,
+    copies included.
+    """
+    docs = docs.select("doc_id", "text")
+    n_parts = part_count(docs)
+    texts, classes, sets = _class_sets(docs, k, percent, n_parts)
+    links = every_link(sets, percent, n_parts, pairs=False) if count_links else class_links(sets, percent, n_parts)
+    found = store(components(links), "components")
+    made = ["component_id"]
     named = classes.join(found, classes["h1"] == found["node"], "left").select(
-        "h1", "h2", "least_doc", F.coalesce("component", "h1").alias("component")
+        "h1", "h2", "least_doc", "copies", F.coalesce("component", "h1").alias("component")
     )
     named = store(named, "class-components")
     least_doc = named.groupBy("component").agg(F.min("least_doc").alias("component_id"))
-    named = store(named.join(least_doc, "component").select("h1", "h2", "component_id"), "class-names")
+    named = named.join(least_doc, "component")
+    if count_links:
+        linked = store(links.groupBy(F.col("a").alias("h1")).agg(F.sum("n").alias("_linked")), "link-counts")
+        named = named.join(linked, "h1", "left").withColumn("n_links", F.col("copies") - 1 + F.coalesce("_linked", F.lit(0)))
+        made.append("n_links")
+    named = store(named.select("h1", "h2", *made), "class-names")
     out = texts.join(named, ["h1", "h2"], "left")
     own = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
-    return out.select("doc_id", F.col("n").alias("n_shingles"), own.alias("component_id"))
+    many = [F.when(F.col("doc_id").isNotNull(), F.coalesce("n_links", F.lit(0))).otherwise(0).cast("long").alias("n_links")] if count_links else []
+    return out.select("doc_id", F.col("n").alias("n_shingles"), own.alias("component_id"), *many)
+
+
+def jaccard_links(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """(a, b) of every link between different texts, a < b: the smallest doc_id of each text's copies."""
+    docs = docs.select("doc_id", "text")
+    n_parts = part_count(docs)
+    _, classes, sets = _class_sets(docs, k, percent, n_parts)
+    pairs = every_link(sets, percent, n_parts, pairs=True).select("a", "b")
+    for c in ("a", "b"):
+        name = classes.select(F.col("h1").alias(c), F.col("least_doc").alias(f"_{c}"))
+        pairs = pairs.join(name, c).drop(c)
+    return pairs.select(F.least("_a", "_b").alias("a"), F.greatest("_a", "_b").alias("b"))
 
 
 def keep_one(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -416,4 +553,4 @@ def keep_one(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) -> DataFra
 
 
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_components(table(spark, sf_dir, "documents"))
+    return jaccard_components(table(spark, sf_dir, "documents"), count_links=True)

@@ -16,7 +16,7 @@ from strata.llm import jaccard_join
 from strata.llm.chat_format import CHAT, Formatter, digests, format_conversations
 from strata.llm.components import components
 from strata.llm.common import store
-from strata.llm.jaccard_join import Trie, jaccard_components, keep_one
+from strata.llm.jaccard_join import Trie, jaccard_components, jaccard_links, keep_one
 from strata.llm.mixing import fly, mix, targets
 from strata.llm.quality_classifier import Model, learn, op10_quality_classifier, score_quality
 from strata.llm.warc_audit import audit, damaged
@@ -192,6 +192,26 @@ def test_components_match_brute_force(spark, seed, monkeypatch):
     assert got == brute_components(rows, 4, 85)
 
 
+@pytest.mark.parametrize("seed, sets", [(0, 3), (1, 2), (2, 1024)])
+def test_every_link_matches_brute_force(spark, seed, sets, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "TRIE_SETS", sets)
+    rows = near_copies(seed)
+    rows += [(1000 + i, t) for i, (_, t) in enumerate(rows[:9])] + [(2, rows[2][1]), (None, rows[2][1])]
+    shingled = [{tuple(w[i : i + 4]) for i in range(max(1, len(w) - 3))} if (w := (t or "").lower().split()) else set() for _, t in rows]
+    want, pairs = [], set()
+    for (d, _), x in zip(rows, shingled, strict=True):
+        near = [(e, y) for (e, _), y in zip(rows, shingled, strict=True) if e is not None and x and 100 * len(x & y) >= 85 * len(x | y)]
+        want.append((d, len(near) - 1 if x and d is not None else 0))
+        least = lambda z: min(e for (e, _), y in zip(rows, shingled, strict=True) if y == z and e is not None)
+        pairs |= {(least(x), least(y)) for _, y in near if least(x) < least(y)}
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = jaccard_components(df, count_links=True).collect()
+    assert Counter((r.doc_id, r.n_links) for r in got) == Counter(want)
+    assert Counter((r.doc_id, r.component_id) for r in got) == Counter((r.doc_id, r.component_id) for r in jaccard_components(df).collect())
+    links = [(r.a, r.b) for r in jaccard_links(df).collect()]
+    assert len(links) == len(set(links)) and set(links) == pairs and len(pairs) > 5
+
+
 def test_jaccard_null_and_repeated_ids_and_empty(spark):
     t = text_of(80, 1)
     df = spark.createDataFrame([(5, t, 1), (5, t, 1), (3, t, 1), (None, t, 1), (9, "", 1)], "doc_id long, text string, h1 long")
