@@ -1,7 +1,8 @@
 """Substring dedup by hashing lines (paragraphs) and their sentences.
 
 A text is cut into units at two grains: its lines, and the sentences of each line (cut after runs
-of . ! ?, so a passage pasted into the middle of a line is found as well). A unit of at least
+of . ! ?; of a passage pasted into the middle of a line only the pieces that these marks cut out are
+found, not its glued ends, its short sentences or text without such marks). A unit of at least
 ``min_words`` words is normalised (A-Z lower-cased, runs of white space as one space) and hashed
 (MD5). Digests are grouped over all documents; the occurrence with the smallest (doc_id, start)
 stays and every other one goes. Removed spans are returned as [start, end) code point offsets into
