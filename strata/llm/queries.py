@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from strata.llm.chat_format import OP3_SQL, op3_chat_format
+from strata.llm.conversation_trie import OP11_SQL, op11_conversation_trie
 from strata.llm.decontamination import OP4_SQL, op4_benchmark_decontamination
 from strata.llm.jaccard_join import op9_jaccard_join
 from strata.llm.line_dedup import OP1_SQL, op1_line_dedup
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_mixing": op8_mixing,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_quality_classifier": op10_quality_classifier,
+    "op11_conversation_trie": op11_conversation_trie,
 }
 ORACLES = {
     "op1_line_dedup": OP1_SQL,
@@ -32,4 +34,5 @@ ORACLES = {
     "op4_benchmark_decontamination": OP4_SQL,
     "op5_substring_dedup": OP5_SQL,
     "op7_quality_rules": OP7_SQL,
+    "op11_conversation_trie": OP11_SQL,
 }
