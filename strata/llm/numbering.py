@@ -20,11 +20,9 @@ def numbered(df: DataFrame, order: list[Column], into: str, name: str) -> tuple[
     at = df.repartitionByRange(parts, *order).sortWithinPartitions(*order)
     at = store(at.withColumn("_at", F.monotonically_increasing_id()), name)
     part = F.shiftright("_at", 33)
-    counts = sorted(map(tuple, at.groupBy(part.alias("p")).agg(F.count("*").alias("n")).collect()))
-    total, offsets = 0, []
-    for p, n in counts:
-        offsets.append((p, total - (p << 33)))
-        total += n
-    side = df.sparkSession.createDataFrame(offsets, "_part long, _offset long")
-    joined = at.join(F.broadcast(side), part == F.col("_part"))  # one row a partition
-    return joined.select(*df.columns, (F.col("_at") + F.col("_offset")).alias(into)), total
+    counts = dict(map(tuple, at.groupBy(part.alias("p")).agg(F.count("*").alias("n")).collect()))
+    offsets, total = [], 0
+    for p in range(max(counts, default=0) + 1):
+        offsets.append(total - (p << 33))
+        total += counts.get(p, 0)
+    return at.select(*df.columns, (F.col("_at") + F.get(F.lit(offsets).cast("array<long>"), part.cast("int"))).alias(into)), total

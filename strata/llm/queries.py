@@ -5,6 +5,7 @@ from __future__ import annotations
 from strata.llm.chat_format import OP3_SQL, op3_chat_format
 from strata.llm.conversation_trie import OP11_SQL, op11_conversation_trie
 from strata.llm.decontamination import OP4_SQL, op4_benchmark_decontamination
+from strata.llm.fingerprints import op12_fingerprints
 from strata.llm.jaccard_join import op9_jaccard_join
 from strata.llm.line_dedup import OP1_SQL, op1_line_dedup
 from strata.llm.mixing import op8_mixing
@@ -26,6 +27,7 @@ QUERIES = {
     "op9_jaccard_join": op9_jaccard_join,
     "op10_quality_classifier": op10_quality_classifier,
     "op11_conversation_trie": op11_conversation_trie,
+    "op12_fingerprints": op12_fingerprints,
 }
 ORACLES = {
     "op1_line_dedup": OP1_SQL,
