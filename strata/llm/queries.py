@@ -5,6 +5,7 @@ from __future__ import annotations
 from strata.llm.chat_format import OP3_SQL, op3_chat_format
 from strata.llm.conversation_trie import OP11_SQL, op11_conversation_trie
 from strata.llm.decontamination import OP4_SQL, op4_benchmark_decontamination
+from strata.llm.filter_audit import OP13_SQL, op13_filter_audit
 from strata.llm.fingerprints import op12_fingerprints
 from strata.llm.jaccard_join import op9_jaccard_join
 from strata.llm.line_dedup import OP1_SQL, op1_line_dedup
@@ -28,6 +29,7 @@ QUERIES = {
     "op10_quality_classifier": op10_quality_classifier,
     "op11_conversation_trie": op11_conversation_trie,
     "op12_fingerprints": op12_fingerprints,
+    "op13_filter_audit": op13_filter_audit,
 }
 ORACLES = {
     "op1_line_dedup": OP1_SQL,
@@ -37,4 +39,5 @@ ORACLES = {
     "op5_substring_dedup": OP5_SQL,
     "op7_quality_rules": OP7_SQL,
     "op11_conversation_trie": OP11_SQL,
+    "op13_filter_audit": OP13_SQL,
 }
