@@ -324,15 +324,64 @@ def landing_manifest(spark, sf_dir):
     return build_manifest(spark, os.path.join(sf_dir, "*.parquet"))
 
 
-@register("manifest_validate")
+@register(
+    "manifest_validate",
+    O.with_(
+        O.CHAIN_BRONZE[:2],
+        """SELECT pickup_month, CASE WHEN kind IN (0, 3) THEN 1 ELSE 0 END::BIGINT AS valid_files, (kind = 1)::BIGINT AS altered_files,
+  (kind = 2)::BIGINT AS missing_files, (kind = 3)::BIGINT AS undeclared_files, n AS declared_rows,
+  CASE kind WHEN 2 THEN NULL WHEN 3 THEN 2 * n ELSE n END AS found_rows
+FROM (SELECT pickup_month, count(*) AS n, (row_number() OVER (ORDER BY pickup_month) - 1) % 4 AS kind
+      FROM (SELECT CAST(date_trunc('month', tpep_pickup_datetime) AS DATE) AS pickup_month FROM bronze_u) GROUP BY 1)""",
+    ),
+)
 def q_manifest_validate(spark, sf_dir):
-    """Declared manifest (recomputed per file from a second read) validated against the files."""
+    """Land every month as a file, declare all files, then damage the landing zone and validate it.
+
+    Of every four months one file is altered in place (the same rows, other bytes), one is deleted,
+    and one month gets a file that nobody declared.
+    """
+    from strata.plans.monthly import land_months
     from strata.sources.landing import build_manifest, validate_manifest
 
-    declared = build_manifest(spark, os.path.join(sf_dir, "*.parquet"))
-    recomputed = build_manifest(spark, os.path.join(sf_dir, "*.parquet"))
-    v = validate_manifest(declared, recomputed)
-    return v.select(_table_name(F.col("path")).alias("table_name"), "valid")
+    root = scratch_path(spark, f"manifest-{uuid.uuid4().hex}")
+    raw = testbed.trips_raw(spark, sf_dir)
+    month = F.trunc("tpep_pickup_datetime", "month")
+    land_months(raw.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), month), f"{root}/landing", month)
+    declared = build_manifest(spark, f"{root}/landing")
+    stored = scratch_path(spark, f"manifest-{uuid.uuid4().hex}")
+    declared.write.parquet(stored)
+    declared = spark.read.schema(declared.schema).parquet(stored)
+    _damage(spark, root, sorted(r.path for r in declared.select("path").collect()))
+
+    date = F.make_date(*(F.regexp_extract("path", f"{part}=([0-9]+)", 1).cast("int") for part in ("year", "month")), F.lit(1))
+    v = validate_manifest(declared, build_manifest(spark, f"{root}/landing")).withColumn("pickup_month", date)
+    of = lambda s: F.count_if(F.col("status") == s).alias(f"{s}_files")
+    return v.groupBy("pickup_month").agg(
+        *map(of, ("valid", "altered", "missing", "undeclared")),
+        F.sum("declared_rows").alias("declared_rows"), F.sum("row_count").alias("found_rows"),
+    )
+
+
+def _damage(spark, root, paths):
+    """Alter, delete or double the landed files by their place in the list (one file a month)."""
+    jvm = spark._jvm
+    fs_path = jvm.org.apache.hadoop.fs.Path
+    conf = spark._jsc.hadoopConfiguration()
+    again = spark.read.schema(testbed.RAW_SCHEMA).parquet(*(p for i, p in enumerate(paths) if i % 4 in (1, 3)))
+    again = again.withColumn("name", F.regexp_extract(F.col("_metadata.file_path"), "/(year=[^/]+/month=[^/]+)/", 1))
+    again.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "name").write.option("compression", "gzip").partitionBy("name").parquet(f"{root}/other")
+    other = {}
+    for r in spark.read.parquet(f"{root}/other").select("name", F.col("_metadata.file_path").alias("path")).distinct().collect():
+        other[r["name"]] = r["path"]
+    for i, p in enumerate(paths):
+        at = fs_path(jvm.java.net.URI(p))
+        fs = at.getFileSystem(conf)
+        if i % 4 in (1, 2):
+            fs.delete(at, False)
+        if i % 4 in (1, 3):
+            name = "/".join(p.split("/")[-3:-1])
+            fs.rename(fs_path(jvm.java.net.URI(other[name])), at if i % 4 == 1 else fs_path(at.getParent(), "undeclared.parquet"))
 
 
 @register("file_telemetry")

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from strata.schemas import MANIFEST_SCHEMA, ZONE_SEED_SCHEMA
 from strata.sizing import bounded_broadcast
+from strata.sources.filehash import hash_files
 
 
 def landing_path(root: str, year: int, month: int) -> str:
@@ -66,17 +67,19 @@ def build_manifest(spark: SparkSession, path: str, count_rows: bool = True, hash
     """Recompute (path, sha256, byte_size, row_count) for data files, distributed over files.
 
     ``path`` is a folder, a file or a glob of Parquet files; names are as in ``_metadata.file_path``,
-    so they match the rows read from these files whatever characters they hold. Hashing reads whole
-    files through the ``binaryFile`` source (files under 2 GB); without ``hashes`` only the listing
-    is read and ``sha256`` is NULL. Row counts need no column. Both sides are one row per file.
+    so they match the rows read from these files whatever characters they hold. Files of any size are
+    hashed in chunks, see :func:`strata.sources.filehash.hash_files`; without ``hashes`` only the
+    listing is read and ``sha256`` is NULL. Row counts need no column. Both sides are one row per file.
     """
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path)
-    sha = F.sha2(F.col("content"), 256) if hashes else F.lit(None).cast("string")
-    files = files.select(F.col("_metadata.file_path").alias("path"), sha.alias("sha256"), F.col("length").alias("byte_size"))
+    if hashes:
+        files = hash_files(spark, path)
+    else:
+        files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true").load(path)
+        files = files.select(F.col("_metadata.file_path").alias("path"), F.col("length").alias("byte_size"), F.lit(None).cast("string").alias("sha256"))
     if not count_rows:
         return files
     counts = (
-        spark.read.option("pathGlobFilter", "*.parquet").parquet(path)
+        spark.read.option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true").parquet(path)
         .select(F.col("_metadata.file_path").alias("path"))
         .groupBy("path")
         .agg(F.count("*").alias("row_count"))
@@ -101,8 +104,8 @@ def checked_files(spark: SparkSession, folder: str, verify_sha: bool = True) ->
     """(path, sha256) of a landing folder's files, after a check against its sidecar.
 
     The sidecar describes one landing file: its bytes and rows must be those of the folder, and with
-    ``verify_sha`` its sha256 that of the file. Without ``verify_sha`` file contents are not read
-    (files of any size) and the declared sha256 stands. Without a sidecar the hashes are computed.
+    ``verify_sha`` its sha256 that of the file. Without ``verify_sha`` file contents are not read and
+    the declared sha256 stands. Without a sidecar the hashes are computed. Files may have any size.
     """
     declared = declared_manifest(spark, folder)
     if declared is None:
@@ -124,22 +127,24 @@ def checked_files(spark: SparkSession, folder: str, verify_sha: bool = True) ->
 
 
 def validate_manifest(declared: DataFrame, recomputed: DataFrame, key: str = "path") -> DataFrame:
-    """Per file: declared vs recomputed hash / size / rows and a verdict."""
+    """Per file: declared vs recomputed hash / size / rows, ``status`` and ``valid``.
+
+    status: valid, altered (hash, size or rows differ, or no rows), missing (declared, not there),
+    undeclared (there, not declared).
+    """
     d = declared.select(
         F.col(key), F.col("sha256").alias("declared_sha256"), F.col("byte_size").alias("declared_bytes"),
-        F.col("row_count").alias("declared_rows"),
+        F.col("row_count").alias("declared_rows"), F.lit(True).alias("_declared"),
     )
-    j = d.join(recomputed, key, "full_outer")
-    return j.withColumn(
-        "valid",
-        F.coalesce(
-            (F.col("declared_sha256") == F.col("sha256"))
-            & (F.col("declared_bytes") == F.col("byte_size"))
-            & (F.col("declared_rows") == F.col("row_count"))
-            & (F.col("row_count") > 0),
-            F.lit(False),
-        ),
+    j = d.join(recomputed.withColumn("_found", F.lit(True)), key, "full_outer")
+    same = (
+        F.col("declared_sha256").eqNullSafe(F.col("sha256"))
+        & F.col("declared_bytes").eqNullSafe(F.col("byte_size"))
+        & F.col("declared_rows").eqNullSafe(F.col("row_count"))
+        & F.coalesce(F.col("row_count") > 0, F.lit(False))
     )
+    status = F.when(F.col("_found").isNull(), "missing").when(F.col("_declared").isNull(), "undeclared").when(same, "valid").otherwise("altered")
+    return j.withColumn("status", status).withColumn("valid", F.col("status") == "valid").drop("_declared", "_found")
 
 
 def month_slice(df: DataFrame, months: list[dt.date] | DataFrame, col: str = "pickup_month") -> DataFrame:

@@ -12,7 +12,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.schemas import RAW_FIELDS
+from strata.schemas import RAW_FIELDS, RAW_SCHEMA  # noqa: F401
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents "
