@@ -32,17 +32,22 @@ from strata.llm.common import lower_ascii, store, table
 from strata.llm.numbering import numbered
 
 #: Words of a shingle; bins; bits kept of each; probes before the place is computed.
-SHINGLE, BINS, BITS, PROBES = 5, 512, 4, 6
+SHINGLE, BINS, BITS, PROBES = 5, 512, 4, 32
 #: Neighbouring places that one window partition covers.
 BLOCK = 4096
 _SHIFT = 64 - (BINS.bit_length() - 1)
 _EMPTY = (1 << _SHIFT) - 1
-_SPACE = " \t\n\x0b\x0c\r"
+_SPACE = "\t\n\x0b\x0c\r"
 #: Orders of the bins: bin i probes (step[i] * t + start[i]) % BINS for t = 0, 1, ...; steps are odd.
 _STEP = [(i * 2654435761 >> 7) % BINS | 1 for i in range(1, BINS + 1)]
 _START = [(i * 40503 * 2246822519 >> 11) % BINS for i in range(1, BINS + 1)]
 
 
+def _constant(values: list[int], kind: str = "int") -> Column:
+    """An array of numbers that the optimizer folds into one constant."""
+    return F.split(F.lit(",".join(map(str, values))), ",").cast(f"array<{kind}>")
+
+
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body`` of a value that is computed once however often it is used."""
     return F.get(F.transform(F.array(value), body), F.lit(0))
@@ -50,19 +55,18 @@ def _let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 def shingle_hashes(text: Column) -> Column:
     """64-bit hashes of a text's shingles, in order; null counts as empty."""
-    trimmed = F.btrim(lower_ascii(F.coalesce(text, F.lit(""))), F.lit(_SPACE))
+    spaced = F.translate(lower_ascii(F.coalesce(text, F.lit(""))), _SPACE, " " * len(_SPACE))
 
     def windows(words: Column) -> Column:
         starts = F.slice(words, F.lit(1), F.greatest(F.size(words) - (SHINGLE - 1), F.lit(1)))
         return F.transform(starts, lambda w, i: F.xxhash64(w, *(F.get(words, i + j) for j in range(1, SHINGLE))))
 
-    none = F.array().cast("array<bigint>")
-    return F.when(trimmed == "", none).otherwise(_let(F.split(trimmed, r"[\x20\x09-\x0D]+"), windows))
+    return _let(F.array_remove(F.split(spaced, " "), ""), windows)
 
 
 def _minima(hashes: Column) -> Column:
     """The least hash of each bin, in bin order, null where a bin is empty."""
-    sentinels = F.lit([(b << _SHIFT) | _EMPTY for b in range(-BINS // 2, BINS // 2)])
+    sentinels = _constant([(b << _SHIFT) | _EMPTY for b in range(-BINS // 2, BINS // 2)], "bigint")
 
     def first_of_bin(s: Column) -> Column:
         return F.filter(s, lambda x, i: (i == 0) | (F.shiftright(x, _SHIFT) != F.shiftright(F.get(s, i - 1), _SHIFT)))
@@ -73,18 +77,18 @@ def _minima(hashes: Column) -> Column:
 
 def _densified(minima: Column) -> Column:
     """Each empty bin filled with the first bin of its own order that is not empty."""
-    step, start = F.lit(_STEP), F.lit(_START)
-    back = F.lit([pow(s, -1, BINS) for s in _STEP])
+    step, start = _constant(_STEP), _constant(_START)
+    back = _constant([pow(s, -1, BINS) for s in _STEP])
     wrap = F.lit(BINS - 1)
-
-    def probe(e: Column, i: Column, t: Column) -> Column:
-        return F.get(e, (F.get(step, i) * t + F.get(start, i)).bitwiseAND(wrap))
+    tries = [_constant([(a * t + b) % BINS for a, b in zip(_STEP, _START, strict=True)]) for t in range(PROBES)]
 
     def fill(e: Column, full: Column) -> Column:
         def earliest(i: Column) -> Column:
-            return F.array_min(F.transform(full, lambda j: ((j - F.get(start, i) + BINS) * F.get(back, i)).bitwiseAND(wrap)))
+            """The bin that is not empty and comes first in the order of bin i."""
+            t = F.array_min(F.transform(full, lambda j: ((j - F.get(start, i) + BINS) * F.get(back, i)).bitwiseAND(wrap)))
+            return (F.get(step, i) * t + F.get(start, i)).bitwiseAND(wrap)
 
-        return F.transform(e, lambda x, i: F.coalesce(x, *(probe(e, i, F.lit(t)) for t in range(PROBES)), probe(e, i, earliest(i))))
+        return F.transform(e, lambda x, i: F.coalesce(x, *(F.get(e, F.get(t, i)) for t in tries), F.get(e, earliest(i))))
 
     def with_full(e: Column) -> Column:
         full = F.filter(F.sequence(F.lit(0), F.lit(BINS - 1)), lambda j: F.get(e, j).isNotNull())
