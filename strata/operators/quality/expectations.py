@@ -138,6 +138,30 @@ def _range_ok(obs: Column, lo, hi) -> Column:
     return F.coalesce(obs.isNotNull() & _between(obs, lo, hi), F.lit(False))
 
 
+def row_check(e: Expectation) -> tuple[Column, Column]:
+    """(row has nothing to check, row breaks the rule) of an element expectation."""
+    k = e.kwargs
+    if e.type == PAIR_GT:
+        a, b = F.col(k["column_A"]), F.col(k["column_B"])
+        return a.isNull() | b.isNull(), (a < b) if k.get("or_equal") else (a <= b)
+    c = F.col(e.column)
+    if e.type == NOT_NULL:
+        return F.lit(False), c.isNull()
+    if e.type == BETWEEN:
+        return c.isNull(), ~_between(c, k.get("min_value"), k.get("max_value"))
+    if e.type == LENGTH_EQ:
+        return c.isNull(), F.length(c) != F.lit(k["value"])
+    if e.type == IN_SET:
+        return c.isNull(), ~c.isin(list(k["value_set"]))
+    raise ValueError(f"unsupported expectation {e.type}")
+
+
+def enough_good(e: Expectation, denom: Column, unexpected: Column) -> Column:
+    """Whether the share of good rows reaches ``mostly``, in exact decimals; no rows to check pass."""
+    good = (denom - unexpected).cast("decimal(19,0)")
+    return (denom == 0) | (good >= F.lit(Decimal(str(e.kwargs.get("mostly", 1)))) * denom.cast("decimal(19,0)"))
+
+
 def _compile(e: Expectation, i: int, accuracy: int) -> tuple[list[Column], Column]:
     """Aggregate expressions for one expectation, and the result struct built from them."""
     p = f"e{i}_"
@@ -171,23 +195,7 @@ def _compile(e: Expectation, i: int, accuracy: int) -> tuple[list[Column], Colum
         success = _range_ok(observed, k.get("min_value"), k.get("max_value"))
         missing = F.col(p + "n") - F.col(p + "nn")
     else:
-        if e.type == PAIR_GT:
-            a, b = F.col(k["column_A"]), F.col(k["column_B"])
-            is_missing = a.isNull() | b.isNull()
-            bad = (a < b) if k.get("or_equal") else (a <= b)
-        else:
-            c = F.col(e.column)
-            is_missing = c.isNull()
-            if e.type == NOT_NULL:
-                bad = c.isNull()
-            elif e.type == BETWEEN:
-                bad = ~_between(c, k.get("min_value"), k.get("max_value"))
-            elif e.type == LENGTH_EQ:
-                bad = F.length(c) != F.lit(k["value"])
-            elif e.type == IN_SET:
-                bad = ~c.isin(list(k["value_set"]))
-            else:
-                raise ValueError(f"unsupported expectation {e.type}")
+        is_missing, bad = row_check(e)
         if e.type == NOT_NULL:
             aggs += [F.lit(0).cast("long").alias(p + "m"), F.count_if(bad).alias(p + "u")]
             denom = F.col(p + "n")
@@ -196,9 +204,7 @@ def _compile(e: Expectation, i: int, accuracy: int) -> tuple[list[Column], Colum
             denom = F.col(p + "n") - F.col(p + "m")
         missing, unexpected = F.col(p + "m"), F.col(p + "u")
         observed = unexpected.cast("double") / F.nullif(denom, F.lit(0))
-        # Exact decimals: 1.0 - mostly is not, and would fail a share right at the bound.
-        good = (denom - unexpected).cast("decimal(19,0)")
-        success = observed.isNull() | (good >= F.lit(Decimal(str(k.get("mostly", 1)))) * denom.cast("decimal(19,0)"))
+        success = enough_good(e, denom, unexpected)
     unexpected_pct = (
         unexpected.cast("double") / F.nullif(F.col(p + "n") - F.coalesce(missing, F.lit(0)), F.lit(0)) * F.lit(100.0)
     )

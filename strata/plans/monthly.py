@@ -20,7 +20,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.operators import dims, facts, ingest, privacy, silver
+from strata.operators import dims, facts, ingest, privacy, silver, subjects
 from strata.operators.quality import expectations as X
 from strata.ops.audit import DAG_ID, AuditRecord, append_audit, audit_frame
 from strata.plans.models import RunParams
@@ -144,7 +144,10 @@ def load_month(
 
     new_lookup = privacy.build_pii_lookup(keep).withColumn(PM, F.lit(month))
     overwrite_partitions(new_lookup, tables.pii_lookup, PM, [month])
-    lookup = _read(spark, tables.pii_lookup, month, new_lookup).drop(PM)
+    stored_lookup = _read(spark, tables.pii_lookup, month, new_lookup)
+    # which months hold a subject is asked of these filters, not of the lookups
+    overwrite_partitions(subjects.month_filters(stored_lookup), tables.pii_filters, PM, [month])
+    lookup = stored_lookup.drop(PM)
     bronze = privacy.tokenize_bronze(keep, lookup, params.salt, params.salt_version)
     rows_bronze = overwrite_partitions(bronze, tables.bronze, PM, [month])
 
