@@ -38,6 +38,22 @@ def avg_dec(expr: str, scale_in: int = 2, prec_in: int = 10) -> str:
     )
 
 
+def cents(column: str) -> str:
+    """Exact integer sum of a DECIMAL(10,2) column, in hundredths; NULL if it has no value."""
+    return f"SUM(CAST({column} * 100 AS HUGEINT))"
+
+
+def from_cents(total: str) -> str:
+    """A sum of hundredths as DECIMAL(20,2)."""
+    return f"CAST(CAST({total} AS DECIMAL(28,0)) * CAST(0.01 AS DECIMAL(3,2)) AS DECIMAL(20,2))"
+
+
+def mean_of_cents(total: str, n: str) -> str:
+    """Mean of ``n`` values from their sum in hundredths: six decimals, rounded HALF_UP."""
+    up = f"(abs({total}) * 20000 + {n}) // (2 * {n})"
+    return f"CASE WHEN {n} > 0 THEN CAST(CAST(sign({total}) * {up} AS DECIMAL(28,0)) * CAST(0.000001 AS DECIMAL(7,6)) AS DECIMAL(14,6)) END"
+
+
 def dsum(expr: str, prec: int = 20) -> str:
     """SUM of DECIMAL(prec-10, s) as Spark types it: DECIMAL(prec, s) (s = 2 by default)."""
     return f"CAST(SUM({expr}) AS DECIMAL({prec},2))"
@@ -202,34 +218,36 @@ dim_zone AS (
   FROM stg_zone
 )"""
 
-DAILY = f"""sums_by_day AS (
-  SELECT pickup_at::DATE AS day, pu_location_id AS place, payment_type AS paid, count(*) AS n,
-    sum(passenger_count)::BIGINT AS riders, {dsum("trip_distance")} AS miles, {dsum("fare_amount")} AS fares,
-    {dsum("tip_amount")} AS tips, {dsum("total_amount")} AS revenue,
-    {avg_dec("tip_pct")} AS tip_share, {avg_dec("duration_min")} AS minutes
-  FROM fct GROUP BY ALL
+# Amounts are summed as integers of hundredths; only the last step makes decimals of them.
+DAILY = f"""daily_cents AS (
+  SELECT CAST(pickup_at AS DATE) AS pickup_date, pu_location_id, payment_type, count(*) AS trip_count,
+    CAST(sum(passenger_count) AS BIGINT) AS total_passengers,
+    {cents("trip_distance")} AS distance, {cents("fare_amount")} AS fare, {cents("tip_amount")} AS tip, {cents("total_amount")} AS revenue,
+    {cents("tip_pct")} AS tip_pct_total, count(tip_pct) AS tip_pct_n, {cents("duration_min")} AS minutes_total, count(duration_min) AS minutes_n
+  FROM fct GROUP BY CAST(pickup_at AS DATE), pu_location_id, payment_type
 ),
 daily AS (
-  SELECT {sk("day", "place", "paid")} AS daily_id, day AS pickup_date,
-    make_date(year(day)::BIGINT, month(day)::BIGINT, 1::BIGINT) AS pickup_month, place AS pu_location_id, paid AS payment_type,
-    n AS trip_count, riders AS total_passengers, miles AS total_distance_mi, fares AS total_fare, tips AS total_tip,
-    revenue AS total_revenue, tip_share AS avg_tip_pct, minutes AS avg_duration_min,
-    {ts(P.transformed_at)} AS _transformed_at
-  FROM sums_by_day
+  SELECT {sk("pickup_date", "pu_location_id", "payment_type")} AS daily_id, pickup_date,
+    CAST(date_trunc('month', pickup_date) AS DATE) AS pickup_month, pu_location_id, payment_type, trip_count, total_passengers,
+    {from_cents("distance")} AS total_distance_mi, {from_cents("fare")} AS total_fare, {from_cents("tip")} AS total_tip,
+    {from_cents("revenue")} AS total_revenue, {mean_of_cents("tip_pct_total", "tip_pct_n")} AS avg_tip_pct,
+    {mean_of_cents("minutes_total", "minutes_n")} AS avg_duration_min, {ts(P.transformed_at)} AS _transformed_at
+  FROM daily_cents
 )"""
 
-ZONE_REV = f"""sums_by_place AS (
-  SELECT pickup_month AS m, pu_location_id AS place, count(*) AS n, {dsum("total_amount")} AS revenue,
-    {avg_dec("total_amount")} AS mean_revenue, {dsum("trip_distance")} AS miles, {avg_dec("trip_distance")} AS mean_miles,
-    {dsum("tip_amount")} AS tips, {avg_dec("tip_pct")} AS tip_share
-  FROM fct GROUP BY ALL
+ZONE_REV = f"""zone_cents AS (
+  SELECT pickup_month, pu_location_id, count(*) AS trip_count, {cents("total_amount")} AS revenue, count(total_amount) AS revenue_n,
+    {cents("trip_distance")} AS distance, count(trip_distance) AS distance_n, {cents("tip_amount")} AS tip,
+    {cents("tip_pct")} AS tip_pct_total, count(tip_pct) AS tip_pct_n
+  FROM fct GROUP BY pickup_month, pu_location_id
 ),
 zone_rev AS (
-  SELECT {sk("m", "place")} AS zone_month_id, m AS pickup_month, place AS pu_location_id,
-    dim_zone.borough, dim_zone.zone_name, dim_zone.service_zone, n AS trip_count, revenue AS total_revenue,
-    mean_revenue AS avg_revenue_per_trip, miles AS total_distance_mi, mean_miles AS avg_distance_mi,
-    tips AS total_tips, tip_share AS avg_tip_pct, {ts(P.transformed_at)} AS _transformed_at
-  FROM sums_by_place LEFT JOIN dim_zone ON dim_zone.location_id = sums_by_place.place
+  SELECT {sk("pickup_month", "pu_location_id")} AS zone_month_id, pickup_month, pu_location_id,
+    z.borough, z.zone_name, z.service_zone, trip_count, {from_cents("revenue")} AS total_revenue,
+    {mean_of_cents("revenue", "revenue_n")} AS avg_revenue_per_trip, {from_cents("distance")} AS total_distance_mi,
+    {mean_of_cents("distance", "distance_n")} AS avg_distance_mi, {from_cents("tip")} AS total_tips,
+    {mean_of_cents("tip_pct_total", "tip_pct_n")} AS avg_tip_pct, {ts(P.transformed_at)} AS _transformed_at
+  FROM zone_cents LEFT JOIN dim_zone z ON z.location_id = pu_location_id
 )"""
 
 PAYMENT = f"""dim_payment_type AS (
