@@ -5,6 +5,8 @@ step 2 rarest first. Two sets are linked when intersection * 100 >= threshold *
 
 1. One pass over the texts gives every row its set size and a 128-bit set identity, so equal sets
    are one class from here on, and sends an extended prefix of every set through a packed shuffle.
+   There classes go by 64 bits of the identity; a loss would take two linked classes with equal bits.
+   A class's counts from all parts are packed and summed; hot shingles are counted where they are.
    With sets in one order, two linked sets share their first k common shingles within prefixes of
    size - ceil(threshold * size) + k. Classes whose prefix does not hold that many shingles of other
    classes can have no link and leave; this is exact.
@@ -40,13 +42,12 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm.common import BROADCAST_BYTES, attach, slices, store, stored_bytes, table
 from strata.llm.components import components
-from strata.llm.packed import joined, packed, part_count
+from strata.llm.packed import buffered, gathered, joined, part_count, rows_of, spread
 from strata.llm.tokens import Words, distinct, mix, owners, shingles
 
 WORDS, PERCENT = 4, 85
@@ -54,6 +55,8 @@ WORDS, PERCENT = 4, 85
 EXTRA = 20
 #: Sets and shingles of a trie, and of the sets that traverse it, in one task of step 4 (about).
 TRIE_SETS, TRIE_TOKENS = 1024, 1 << 21
+#: Classes of one shingle in one task's buffer beyond which it counts as hot; heavy shingles at most.
+HOT, HEAVY = 1024, 1 << 16
 
 
 def _ceil(n, percent: int):
@@ -81,70 +84,112 @@ def identities(values: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.n
     return out[0], out[1]
 
 
+def _ids(h1: np.ndarray, h2: np.ndarray) -> np.ndarray:
+    """64 bits of both halves of the identities, for step 1 alone."""
+    return mix(h1.view(np.uint64) ^ mix(h2.view(np.uint64))).view(np.int64)
+
+
+def _combined(keys: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, ...]:
+    """A buffer's pairs (key, class) once each, and what is known of its hot keys already.
+
+    A key of more than HOT classes is shared: only its least and greatest class are sent on, the
+    others count it here. Returns keys and ids to send, the classes that counted and their counts.
+    """
+    order = np.lexsort((ids, keys))
+    keys, ids = keys[order], ids[order]
+    once = np.ones(len(keys), bool)
+    once[1:] = (keys[1:] != keys[:-1]) | (ids[1:] != ids[:-1])
+    keys, ids = keys[once], ids[once]
+    start = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
+    size = np.diff(np.append(start, len(keys)))
+    hot = size > HOT
+    inner = np.repeat(hot, size)
+    inner[start[hot]] = inner[start[hot] + size[hot] - 1] = False
+    found, count = np.unique(ids[inner], return_counts=True)
+    return keys[~inner], ids[~inner], found, count.astype(np.int64)
+
+
+_TEXTS = pa.schema([(c, pa.int64()) for c in ("id", "h1", "h2", "n", "doc_id")])
+_CELLS = pa.schema([("kind", pa.int32()), ("part", pa.int32()), ("keys", pa.binary()), ("cells", pa.binary())])
+_COUNTED = "id long, h1 long, h2 long, n long, doc_id long, kind int, part int, keys binary, cells binary"
+
+
+def _joined_schema(b: pa.RecordBatch) -> pa.RecordBatch:
+    """``b``, rows of texts or of cells, with null for the columns of the other kind."""
+    both = pa.schema([*_TEXTS, *_CELLS])
+    return pa.RecordBatch.from_arrays([b.column(f.name) if f.name in b.schema.names else pa.nulls(b.num_rows, f.type) for f in both], schema=both)
+
+
+def _cells(kind: int, keys: np.ndarray, n_parts: int, cells: np.ndarray) -> pa.RecordBatch:
+    rows = rows_of(keys, n_parts, {"cells": cells})
+    return pa.RecordBatch.from_arrays([pa.array(np.full(rows.num_rows, kind, np.int32)), *rows.columns], schema=_CELLS)
+
+
 def _prefixes(docs: DataFrame, k: int, percent: int, extra: int, n_parts: int) -> DataFrame:
-    """Rows (part, keys, ids) of prefixes, and rows of part < 0 with ids, second halves, doc_ids and sizes."""
+    """A row for each text: id, identity, size, doc_id. Packed rows of prefixes (kind 0: shingle, class)
+    and of counts of hot shingles (kind 1: class, count)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches, "text"):
-            values, bounds = ordered_sets(b.column("text"), k)
-            h1, h2 = identities(values, bounds)
-            n = np.diff(bounds)
-            out = [(int(-1 - h1[0] % 997), None, None, h1.tobytes(), h2.tobytes(), n.astype(np.int64).tobytes(), b.column("doc_id"))]
-            length = np.where(n > 0, n - _ceil(n, percent) + _ceil(n, extra), 0)
-            _, once = np.unique(np.column_stack([h1, h2]), axis=0, return_index=True)
-            length[np.setdiff1d(np.arange(len(n)), once)] = 0  # copies inside the slice bring nothing new
-            length = np.minimum(length, n)
-            take = np.arange(len(values)) - np.repeat(bounds[:-1], n) < np.repeat(length, n)
-            ids = np.repeat(h1, length)
-            out += [(p, keys, c[0], None, None, None, None) for p, keys, c in packed(values[take], n_parts, ids)]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([r[0] for r in out], pa.int32()),
-                    *(pa.array([r[i] for r in out], pa.binary()) for i in range(1, 6)),
-                    pa.array([None if r[6] is None else r[6].to_pylist() for r in out], pa.list_(pa.int64())),
-                ],
-                ["part", "keys", "ids", "h1", "h2", "n", "doc_ids"],
-            )
-
-    return docs.select("doc_id", "text").mapInArrow(
-        run, "part int, keys binary, ids binary, h1 binary, h2 binary, n binary, doc_ids array<long>"
-    )
+        texts: list[pa.RecordBatch] = []
+
+        def arrays():
+            for b in slices(batches, "text"):
+                values, bounds = ordered_sets(b.column("text"), k)
+                h1, h2 = identities(values, bounds)
+                n, ids = np.diff(bounds), _ids(h1, h2)
+                cols = [pa.array(ids), pa.array(h1), pa.array(h2), pa.array(n.astype(np.int64)), b.column("doc_id")]
+                texts.append(pa.RecordBatch.from_arrays(cols, schema=_TEXTS))
+                length = np.where(n > 0, n - _ceil(n, percent) + _ceil(n, extra), 0)
+                _, once = np.unique(np.column_stack([h1, h2]), axis=0, return_index=True)
+                length[np.setdiff1d(np.arange(len(n)), once)] = 0  # copies inside the slice bring nothing new
+                length = np.minimum(length, n)
+                take = np.arange(len(values)) - np.repeat(bounds[:-1], n) < np.repeat(length, n)
+                yield values[take], np.repeat(ids, length)
+
+        for keys, ids in buffered(arrays()):
+            yield from map(_joined_schema, texts)
+            texts.clear()
+            keys, ids, found, count = _combined(keys, ids)
+            yield _joined_schema(_cells(0, keys, n_parts, ids))
+            if len(found):
+                yield _joined_schema(_cells(1, found.view(np.uint64), n_parts, count))
+        yield from map(_joined_schema, texts)
+
+    return docs.select("doc_id", "text").mapInArrow(run, _COUNTED)
+
+
+def _count_shared(n_parts: int):
+    """Packed rows (class, count): how many of its prefix shingles in this part other classes have too."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, ids = gathered(batches, {"keys": np.uint64, "cells": np.int64})
+        if not len(keys):
+            return
+        order = np.lexsort((ids, keys))
+        keys, ids = keys[order], ids[order]
+        start = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
+        size = np.diff(np.append(start, len(keys)))
+        mixed = np.repeat(ids[start] != ids[start + size - 1], size)
+        keys, ids = keys[mixed], ids[mixed]  # shingles of two classes or more
+        once = np.ones(len(ids), bool)  # a class that came from several buffers counts once
+        once[1:] = (ids[1:] != ids[:-1]) | (keys[1:] != keys[:-1])
+        found, count = np.unique(ids[once], return_counts=True)
+        yield rows_of(found.view(np.uint64), n_parts, {"cells": count.astype(np.int64)})
 
-_COUNTED = pa.schema([("h1", pa.int64()), ("h2", pa.int64()), ("n", pa.int64()), ("doc_id", pa.int64()), ("shared", pa.int64())])
+    return run
 
 
-def _count_shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row for each text as it came; for each class (h1), how many of its prefix shingles others hold."""
-    keys, ids = [], []
-    for b in batches:
-        for row in b.select(["h1", "h2", "n", "doc_ids"]).filter(pc.is_valid(b.column("h1"))).to_pylist():
-            cols = [np.frombuffer(row[c], np.int64) for c in ("h1", "h2", "n")]
-            yield pa.RecordBatch.from_arrays(
-                [*map(pa.array, cols), pa.array(row["doc_ids"], pa.int64()), pa.nulls(len(cols[0]), pa.int64())], schema=_COUNTED
-            )
-        keys.append(b.column("keys"))
-        ids.append(b.column("ids"))
-    keys, ids = joined(keys, np.uint64), joined(ids, np.int64)
-    if not len(keys):
-        return
-    order = np.argsort(keys)
-    keys, ids = keys[order], ids[order]
-    start = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
-    size = np.diff(np.append(start, len(keys)))
-    mixed = np.repeat(np.minimum.reduceat(ids, start) != np.maximum.reduceat(ids, start), size)
-    keys, ids = keys[mixed], ids[mixed]  # shingles of two classes or more
-    order = np.lexsort((keys, ids))
-    keys, ids = keys[order], ids[order]
-    once = np.ones(len(ids), bool)  # a class that came from several slices counts once
-    once[1:] = (ids[1:] != ids[:-1]) | (keys[1:] != keys[:-1])
-    found, count = np.unique(ids[once], return_counts=True)
-    none = pa.nulls(len(found), pa.int64())
-    yield pa.RecordBatch.from_arrays([pa.array(found), none, none, none, pa.array(count.astype(np.int64))], schema=_COUNTED)
+def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(id, shared): a class's counts from all parts as one row."""
+    ids, counts = gathered(batches, {"keys": np.int64, "cells": np.int64})
+    found, at = np.unique(ids, return_inverse=True)
+    total = np.zeros(len(found), np.int64)
+    np.add.at(total, at, counts)
+    yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(total)], ["id", "shared"])
 
 
 def _whole_sets(docs: DataFrame, k: int) -> DataFrame:
-    """(cid, n, tokens, copies) of the candidate classes; docs has (text, h1, h2, copies) of their smallest documents. cid is h1."""
+    """(cid, n, tokens, copies) of the candidate classes; docs has (text, h1, h2, cid, copies) of their smallest documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "text"):
@@ -154,7 +199,7 @@ def _whole_sets(docs: DataFrame, k: int) -> DataFrame:
             at = np.flatnonzero(same)
             yield pa.RecordBatch.from_arrays(
                 [
-                    b.column("h1").take(pa.array(at)),
+                    b.column("cid").take(pa.array(at)),
                     pa.array(np.diff(bounds)[at].astype(np.int64)),
                     pa.array([values[bounds[i] : bounds[i + 1]].tobytes() for i in at], pa.binary()),
                     b.column("copies").take(pa.array(at)),
@@ -165,65 +210,100 @@ def _whole_sets(docs: DataFrame, k: int) -> DataFrame:
     return docs.mapInArrow(run, "cid long, n long, tokens binary, copies long")
 
 
-def _shared_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(cid, tokens, counts): the shingles of a part that two sets or more have, and how many do, by set."""
-    keys, ids = [], []
-    for b in batches:
-        keys.append(b.column("keys"))
-        ids.append(b.column("ids"))
-    keys, ids = joined(keys, np.int64), joined(ids, np.int64)
-    if not len(keys):
-        return
-    order = np.argsort(keys)
-    keys, ids = keys[order], ids[order]
-    start = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
-    size = np.diff(np.append(start, len(keys)))
-    count = np.repeat(size, size)
-    keys, ids, count = keys[count > 1], ids[count > 1], count[count > 1].astype(np.int32)
-    order = np.argsort(ids, kind="stable")
-    keys, ids, count = keys[order], ids[order], count[order]
-    start = np.flatnonzero(np.append(True, ids[1:] != ids[:-1])[: len(ids)])
-    stop = np.append(start[1:], len(ids))
-    for s in range(0, len(start), 4096):
-        cut = list(zip(start[s : s + 4096], stop[s : s + 4096], strict=True))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(ids[start[s : s + 4096]]), *(pa.array([c[x:y].tobytes() for x, y in cut], pa.binary()) for c in (keys, count))],
-            ["cid", "tokens", "counts"],
-        )
+def _buffers(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(tokens, cid of each) of stored sets, by buffers."""
+
+    def arrays():
+        for b in slices(batches, "tokens"):
+            yield joined([b.column("tokens")], np.uint64), np.repeat(b.column("cid").to_numpy(), b.column("n").to_numpy())
+
+    return buffered(arrays())
+
+
+def _heavy(sets: DataFrame) -> list[int]:
+    """Shingles that at least 1 / HEAVY of all shingles of the sets are copies of, ascending: at most HEAVY.
+
+    Counted where a buffer holds more than HOT of them, which is the rule, not an estimate of one:
+    what matters is that all tasks mean the same shingles.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for keys, _ in _buffers(batches):
+            found, count = np.unique(keys, return_counts=True)
+            many = count > HOT
+            yield pa.RecordBatch.from_arrays([pa.array(found[many].view(np.int64)), pa.array(count[many].astype(np.int64))], ["token", "n"])
+
+    total = sets.agg(F.sum("n")).first()[0] or 0
+    counts = sets.select("cid", "n", "tokens").mapInArrow(run, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
+    return sorted(r.token % (1 << 64) for r in counts.where(F.col("n") * HEAVY >= total).select("token").collect())
+
+
+_SHARED = {"keys": np.int64, "cells": np.uint64, "counts": np.int32}
+
+
+def _shared_tokens(n_parts: int):
+    """Packed rows by class: the shingles of a part that two sets or more have, and how many do."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, ids = gathered(batches, {"keys": np.uint64, "cells": np.int64})
+        if not len(keys):
+            return
+        order = np.argsort(keys)
+        keys, ids = keys[order], ids[order]
+        start = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+        size = np.diff(np.append(start, len(keys)))
+        count = np.repeat(size, size)
+        some = count > 1
+        yield rows_of(ids[some].view(np.uint64), n_parts, {"cells": keys[some], "counts": count[some].astype(np.int32)})
+
+    return run
 
 
 def _prefix_rows(sets: DataFrame, percent: int, n_parts: int) -> DataFrame:
     """(token, cid) of each set's plain prefix, rarest shingles first.
 
     Shingles that no other candidate has come first of all: they fill the prefix but join nothing,
-    and a set with too few others is no candidate any more.
+    and a set with too few others is no candidate any more. Heavy shingles come last, by hash, and are
+    counted nowhere: a shingle that a third of all sets have is not sent to one part.
     """
+    heavy = np.array(_heavy(sets), np.uint64)
+    last = np.iinfo(np.int32).max
+
+    def is_heavy(keys: np.ndarray) -> np.ndarray:
+        at = np.minimum(np.searchsorted(heavy, keys), len(heavy) - 1)
+        return heavy[at] == keys if len(heavy) else np.zeros(len(keys), bool)
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            n = b.column("n").to_numpy()
-            keys, ids = joined([b.column("tokens")], np.uint64), np.repeat(b.column("cid").to_numpy(), n)
-            rows = list(packed(keys, n_parts, ids))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary()), pa.array([r[2][0] for r in rows], pa.binary())],
-                ["part", "keys", "ids"],
-            )
+        for keys, ids in _buffers(batches):
+            yield rows_of(keys[~is_heavy(keys)], n_parts, {"cells": ids[~is_heavy(keys)]})
 
-    def rank(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            tokens, ids = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-            for cid, n, cells in zip(*(b.column(c).to_pylist() for c in ("cid", "n", "cells")), strict=True):
-                keys, counts = (np.frombuffer(b"".join(x[c] for x in cells), t) for c, t in (("tokens", np.int64), ("counts", np.int32)))
-                many = len(keys) - _ceil(n, percent) + 1
-                if many > 0:
-                    tokens.append(keys[np.lexsort((keys, counts))[:many]])
-                    ids.append(np.full(many, cid))
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(tokens)), pa.array(np.concatenate(ids))], ["token", "cid"])
+    def pack_heavy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for keys, ids in _buffers(batches):
+            of = is_heavy(keys)
+            yield rows_of(ids[of].view(np.uint64), n_parts, {"cells": keys[of], "counts": np.full(of.sum(), last, np.int32)})
+
+    def pack_sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:  # a class's size comes as a cell with count 0
+            ids, n = b.column("cid").to_numpy(), b.column("n").to_numpy()
+            yield rows_of(ids.view(np.uint64), n_parts, {"cells": n.view(np.uint64), "counts": np.zeros(len(ids), np.int32)})
 
-    parts = sets.mapInArrow(pack, "part int, keys binary, ids binary").repartition(n_parts, "part")
-    shared = parts.mapInArrow(_shared_tokens, "cid long, tokens binary, counts binary")
-    cells = shared.groupBy("cid").agg(F.collect_list(F.struct("tokens", "counts")).alias("cells"))
-    return cells.join(sets.select("cid", "n"), "cid").mapInArrow(rank, "token long, cid long")
+    def rank(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, keys, counts = gathered(batches, _SHARED)
+        order = np.lexsort((keys, counts, ids))
+        ids, keys, counts = ids[order], keys[order], counts[order]
+        start = np.flatnonzero(counts == 0)  # each class's size, its first cell
+        size = np.diff(np.append(start, len(ids))) - 1
+        many = np.maximum(size - _ceil(keys[start].view(np.int64), percent) + 1, 0)
+        at = np.arange(many.sum()) + np.repeat(start + 1 - np.cumsum(many) + many, many)
+        yield pa.RecordBatch.from_arrays([pa.array(keys[at].view(np.int64)), pa.array(ids[at])], ["token", "cid"])
+
+    cells, shared = "part int, keys binary, cells binary", "part int, keys binary, cells binary, counts binary"
+    rows = sets.select("cid", "n", "tokens")
+    parts = spread(rows.mapInArrow(pack, cells), n_parts, {"cells": np.int64}).mapInArrow(_shared_tokens(n_parts), shared)
+    parts = parts.unionByName(sets.select("cid", "n").mapInArrow(pack_sizes, shared))
+    if len(heavy):
+        parts = parts.unionByName(rows.mapInArrow(pack_heavy, shared))
+    return spread(parts, n_parts, {"cells": np.uint64, "counts": np.int32}).mapInArrow(rank, "token long, cid long")
 
 
 def overlap(a: np.ndarray, b: np.ndarray) -> int:
@@ -286,12 +366,11 @@ class Trie:
             edges.append(first[depth:to])
             made.append((to, min(sizes), max(sizes), order[lo] if ends else -1, child, len(todo) - child))
         self.depth, self.least, self.most, self.end, self.child, self.children = np.array(made, np.int64).T
-        size = np.array([len(e) for e in edges], np.int64)
+        self.size = np.array([len(e) for e in edges], np.int64)
         self.last = np.array([e[-1] if len(e) else 0 for e in edges], np.uint64)
-        self.some = np.flatnonzero(size > 0)
-        self.starts = (np.cumsum(size) - size)[self.some]
+        self.start = np.cumsum(self.size) - self.size
         self.vocabulary, self.tokens = np.unique(np.concatenate(edges), return_inverse=True)
-        self.mark = np.zeros(len(self.vocabulary), bool)
+        self.mark = np.zeros(len(self.vocabulary) + 1, np.int64)
 
     def linked(self, probe: np.ndarray, skip: Callable[[int], bool] = lambda _: False) -> Iterator[tuple[int, int]]:
         """(position of a set given to the trie, overlap) of every set linked with ``probe``.
@@ -310,23 +389,34 @@ class Trie:
             return out[0][0], out[0][1]
         at = np.minimum(np.searchsorted(self.vocabulary, probe), len(self.vocabulary) - 1)
         at = at[self.vocabulary[at] == probe]
-        self.mark[at] = True
-        hits = np.zeros(len(self.depth), np.int64)
-        hits[self.some] = np.add.reduceat(self.mark[self.tokens], self.starts, dtype=np.int64)
-        self.mark[at] = False
-        node, common = np.zeros(1, np.int64), hits[:1]
+        known = self.vocabulary[at]  # the probe's tokens that any stored set has
+        self.mark[at] = 1
+        node, common = np.zeros(1, np.int64), np.zeros(1, np.int64)
         while len(node):
-            rest = np.minimum(n - np.searchsorted(probe, self.last[node], "right"), self.most[node] - self.depth[node])
+            # Before an edge is looked at: what its path has, and at most all that is left.
+            left = np.minimum(len(known) - common, self.most[node])
+            able = ((common + left) * (100 + p) >= p * (n + self.least[node])) & (100 * self.most[node] >= p * n) & (p * self.least[node] <= 100 * n)
+            node, common = node[able], common[able]
+            common = common + self._hits(node)
+            rest = np.minimum(len(known) - np.searchsorted(known, self.last[node], "right"), self.most[node] - self.depth[node])
             reach = (common + rest) * (100 + p) >= p * (n + self.least[node])
             node, common = node[reach], common[reach]
             good = np.flatnonzero((self.end[node] >= 0) & (common * (100 + p) >= p * (n + self.depth[node])))
             out.append(np.stack([self.end[node[good]], common[good]]))
             many = self.children[node]
             node, common = np.repeat(self.child[node] - np.cumsum(many) + many, many) + np.arange(many.sum()), np.repeat(common, many)
-            common = common + hits[node]
+        self.mark[at] = 0
         ends, shared = np.concatenate(out, axis=1)
         return ends, shared
 
+    def _hits(self, node: np.ndarray) -> np.ndarray:
+        """Marked tokens on the edges of the nodes, and on no others."""
+        size = self.size[node]
+        total = np.zeros(size.sum() + 1, np.int64)
+        ends = np.cumsum(size)
+        np.cumsum(self.mark[self.tokens[np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.start[node] - ends + size, size)]], out=total[1:])
+        return total[ends] - total[ends - size]
+
 
 def _trie_links(percent: int):
     """Links of a block. zone 2 meets all stored sets, zone 3 those of zones 2 and 3.
@@ -488,19 +578,27 @@ def every_link(sets: DataFrame, percent: int, n_parts: int, pairs: bool) -> Data
 
 
 def _class_sets(docs: DataFrame, k: int, percent: int, n_parts: int) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """The rows (h1, h2, n, doc_id), their classes, and the stored sets of the classes that can have a link."""
-    counted = _prefixes(docs, k, percent, EXTRA, n_parts).repartition(n_parts, "part").mapInArrow(_count_shared, "h1 long, h2 long, n long, doc_id long, shared long")
-    counted = store(counted, "jaccard-counted")
-    texts = counted.where(F.col("h2").isNotNull()).select("h1", "h2", "n", "doc_id")
-    classes = texts.where("n > 0").groupBy("h1", "h2").agg(F.min("doc_id").alias("least_doc"), F.first("n").alias("n"), F.count("doc_id").alias("copies"))
-    classes = store(classes.where("least_doc IS NOT NULL"), "classes")
-    shared = counted.where(F.col("shared").isNotNull()).groupBy("h1").agg(F.sum("shared").alias("shared"))
+    """The rows (h1, h2, n, doc_id), their classes, and the stored sets of the classes that can have a link.
+
+    A class is known by both halves of its identity; those that can have a link get a number, cid.
+    """
+    found = store(_prefixes(docs, k, percent, EXTRA, n_parts), "jaccard-prefixes")
+    texts = found.where("kind IS NULL").select("id", "h1", "h2", "n", "doc_id")
+    cells = {"cells": np.int64}
+    counts = spread(found.where("kind = 0"), n_parts, cells).mapInArrow(_count_shared(n_parts), "part int, keys binary, cells binary")
+    counts = counts.unionByName(found.where("kind = 1").select("part", "keys", "cells"))
+    shared = spread(counts, n_parts, cells).mapInArrow(_summed, "id long, shared long")
+    classes = texts.where("n > 0").groupBy("h1", "h2").agg(
+        F.min("doc_id").alias("least_doc"), F.first("n").alias("n"), F.first("id").alias("id"), F.count("doc_id").alias("copies")
+    )
     # A partner has at least percent of the members, and its prefix shares as many as both allow.
     least = F.expr(f"ceil({EXTRA} * ceil({percent} * n / 100) / 100)")
-    able = store(classes.join(shared, "h1").where(F.col("shared") >= least).select("least_doc", "h1", "h2", "copies"), "candidates")
+    classes = classes.where("least_doc IS NOT NULL").join(shared, "id", "left").withColumn("able", F.coalesce(F.col("shared") >= least, F.lit(False)))
+    classes = store(classes.withColumn("cid", F.monotonically_increasing_id()).drop("id", "shared"), "classes")
+    able = classes.where("able").select("least_doc", "h1", "h2", "cid", "copies")
     # A doc_id with several texts may stand for several classes; the hashes tell which row is meant.
-    picked = F.broadcast(able) if stored_bytes(able) <= BROADCAST_BYTES else able
-    fetched = docs.join(picked, F.col("doc_id") == F.col("least_doc")).select("text", "h1", "h2", "copies")
+    picked = F.broadcast(able) if stored_bytes(classes) <= BROADCAST_BYTES else able
+    fetched = docs.join(picked, F.col("doc_id") == F.col("least_doc")).select("text", "h1", "h2", "cid", "copies")
     return texts, classes, store(_whole_sets(fetched, k).dropDuplicates(["cid"]), "sets")
 
 
@@ -516,15 +614,15 @@ def jaccard_components(docs: DataFrame, k: int = WORDS, percent: int = PERCENT,
     links = every_link(sets, percent, n_parts, pairs=False) if count_links else class_links(sets, percent, n_parts)
     found = store(components(links), "components")
     made = ["component_id"]
-    named = classes.join(found, classes["h1"] == found["node"], "left").select(
-        "h1", "h2", "least_doc", "copies", F.coalesce("component", "h1").alias("component")
+    named = classes.join(found, classes["cid"] == found["node"], "left").select(
+        "h1", "h2", "cid", "least_doc", "copies", F.coalesce("component", "cid").alias("component")
     )
     named = store(named, "class-components")
     least_doc = named.groupBy("component").agg(F.min("least_doc").alias("component_id"))
     named = named.join(least_doc, "component")
     if count_links:
-        linked = store(links.groupBy(F.col("a").alias("h1")).agg(F.sum("n").alias("_linked")), "link-counts")
-        named = named.join(linked, "h1", "left").withColumn("n_links", F.col("copies") - 1 + F.coalesce("_linked", F.lit(0)))
+        linked = store(links.groupBy(F.col("a").alias("cid")).agg(F.sum("n").alias("_linked")), "link-counts")
+        named = named.join(linked, "cid", "left").withColumn("n_links", F.col("copies") - 1 + F.coalesce("_linked", F.lit(0)))
         made.append("n_links")
     named = store(named.select("h1", "h2", *made), "class-names")
     out = texts.join(named, ["h1", "h2"], "left")
@@ -540,7 +638,7 @@ def jaccard_links(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) -> Da
     _, classes, sets = _class_sets(docs, k, percent, n_parts)
     pairs = every_link(sets, percent, n_parts, pairs=True).select("a", "b")
     for c in ("a", "b"):
-        name = classes.select(F.col("h1").alias(c), F.col("least_doc").alias(f"_{c}"))
+        name = classes.select(F.col("cid").alias(c), F.col("least_doc").alias(f"_{c}"))
         pairs = pairs.join(name, c).drop(c)
     return pairs.select(F.least("_a", "_b").alias("a"), F.greatest("_a", "_b").alias("b"))
 
