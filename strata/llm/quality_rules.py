@@ -3,8 +3,8 @@
 The words of a text are the symbols. A suffix array per text (built for many texts at once by prefix
 doubling; only suffixes that still have a twin are sorted again) gives the longest common prefix of
 neighbours. Every suffix's deepest LCP interval, the greater of its two neighbours' prefixes, is the
-longest repeat that starts there; right-maximal repeats of at least SPAN words that cannot be
-extended to the left either are the maximal ones, and their spans are united. A text fails if the
+longest repeat that starts there. The spans of those of at least SPAN words are united, which gives the
+union of all maximal repeats: one that can be extended to the left lies inside the longer one. A text fails if the
 united spans cover more than MAX_COVERED percent of its words, or if one repeat is longer than
 MAX_REPEAT words. The same array gives the words in repeated three-word windows of the base rules.
 
@@ -28,7 +28,9 @@ from strata.llm.common import slices, table
 from strata.llm.tokens import SPACE, Words, _span_hashes, distinct, owners
 
 MIN_WORDS, MAX_REPEAT_WORDS = 50, 50
-SPAN, MAX_COVERED, MAX_REPEAT = 8, 50, 100
+#: Words of a repeat that counts, and the share of a text that such repeats may cover, in percent. Repeats of 8 words
+#: lie inside those of three, so a share that the base rules would let pass has to be well below MAX_REPEAT_WORDS.
+SPAN, MAX_COVERED, MAX_REPEAT = 8, 20, 100
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[[ord(c) for c in "#*$%&|<>"]] = True
 
@@ -211,6 +213,6 @@ WITH d AS (
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, covered_words,
   n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
-  NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND 100 * covered_words <= 50 * n_words AND NOT too_long AS kept
+  NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND 100 * covered_words <= 20 * n_words AND NOT too_long AS kept
 FROM f
 """

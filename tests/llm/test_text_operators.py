@@ -111,7 +111,7 @@ def brute_rules(text):
         longest += 1
     lines = [x for x in (text or "").split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
     failed = n < 50 or 100 * cover(3) > 50 * n
-    kept = not failed and 100 * cover(8) <= 50 * n and longest <= 100
+    kept = not failed and 100 * cover(8) <= 20 * n and longest <= 100
     return (n, sum(map(len, w)), sum(c in "#*$%&|<>" for c in text or ""), len(lines) - len(set(lines)), cover(3), cover(8), longest, failed, kept)
 
 
@@ -138,6 +138,18 @@ def test_quality_rules_match_brute_force():
     assert len(MADE) == len(got[0])
 
 
+def test_repeats_below_the_base_limit_are_refused():
+    """Half of the words lie in two passages pasted twice: the base rules pass it, the covered share does not."""
+    a, b = words_of(99, 21, [f"a{i}" for i in range(900)]), words_of(99, 22, [f"b{i}" for i in range(900)])
+    text = " ".join(words_of(402, 23, [f"c{i}" for i in range(9000)]) + a + b + a + b)
+    row = dict(zip(MADE, (c.tolist()[0] for c in figures(pa.array([text]))), strict=True))
+    assert 390 < row["covered_words"] <= 0.5 * row["n_words"] and row["longest_repeat"] > 100
+    assert not row["base_failed"] and not row["kept"]
+    text = " ".join(words_of(402, 23, [f"c{i}" for i in range(9000)]) + a + b[:50] + a + b[50:])
+    row = dict(zip(MADE, (c.tolist()[0] for c in figures(pa.array([text]))), strict=True))
+    assert not row["base_failed"] and row["longest_repeat"] <= 100 and not row["kept"]
+
+
 def brute_windows(rows):
     seen, out = set(), {}
     for d, t in sorted(rows, key=lambda r: r[0]):
