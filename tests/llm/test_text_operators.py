@@ -8,12 +8,13 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
+from strata.llm import decontamination
 from strata.llm.decontamination import Items, drop_leaks, find_leaks
 from strata.llm.line_dedup import drop_frequent_lines
 from strata.llm.quality_rules import MADE, figures, judge
 from strata.llm.substring_dedup import remove_repeats
 from strata.llm.suffix_dedup import WINDOW, later_windows, remove_later
-from strata.llm.tokens import Words, shingles
+from strata.llm.tokens import NOT_ALNUM, Words, owners, shingles
 
 DOCS = "doc_id long, text string, source string, _row string"
 
@@ -273,3 +274,37 @@ def test_decontamination_finds_scattered_quotations():
 
 def test_digests_are_of_utf8():
     assert hashlib.sha256("é".encode()).hexdigest().startswith("4a99557e")
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 5, 8, 13, 30, 70, 200])
+def test_recall_of_the_sketches_in_each_size_partition(size):
+    """Every item that a text holds is a candidate of its partition, at the limit too; few others are."""
+    rng = random.Random(size)
+    items = [words_of(size + 4, (size, i).__hash__()) for i in range(120)]
+    docs = []
+    for i, w in enumerate(items):
+        shingled = [w[j : j + 5] for j in range(size)]
+        keep = shingled if i % 3 else rng.sample(shingled, -(-size * 8 // 10))
+        scattered = [x for s in keep for x in [*s, *words_of(2, rng.random())]]
+        docs.append(words_of(300, -i) + (w if i % 2 else scattered) + words_of(300, -i - 1000))
+    block = Items.of(list(range(len(items))), [" ".join(w) for w in items])
+    assert len(block.partitions) == 1
+    sets = [{tuple(w[j : j + 5]) for j in range(len(w) - 4)} for w in items]
+    whole = [{tuple(d[j : j + 5]) for j in range(len(d) - 4)} for d in docs]
+    want = {(d, i) for d in range(len(docs)) for i in range(len(items)) if 10 * len(sets[i] & whole[d]) >= 8 * len(sets[i])}
+    column = pa.array([" ".join(d) for d in docs])
+    values, bounds = shingles(Words(column, breaks=NOT_ALNUM), 5)
+    candidates = set(zip(*(x.tolist() for x in block.candidates(values, owners(bounds))), strict=True))
+    assert len(want) >= 120 and want <= candidates and len(candidates) <= len(want) + 5
+    assert {(int(d), int(i)) for d, i in zip(*block.held(column)[:2], strict=True)} == want
+
+
+def test_blocks_of_the_benchmark_give_what_one_gives(spark, monkeypatch):
+    items = [(i, " ".join(words_of(3 + i, i))) for i in range(40)] + [(90, None), (91, ""), (3, "another of this id and more words")]
+    docs = [(i, f"{' '.join(words_of(50, -i))} {items[i % 43][1] or ''}", "s", "en") for i in range(60)]
+    df, bench = spark.createDataFrame(docs, DOCS), spark.createDataFrame(items, "item_id long, text string")
+    one = sorted(map(tuple, find_leaks(df, bench).collect())), sorted(map(tuple, drop_leaks(df, bench).collect()))
+    monkeypatch.setattr(decontamination, "ITEM_BYTES", 1500)
+    monkeypatch.setattr(decontamination, "CHUNK", 7)
+    assert (sorted(map(tuple, find_leaks(df, bench).collect())), sorted(map(tuple, drop_leaks(df, bench).collect()))) == one
+    assert len(one[0]) >= 50 and len(one[1]) < 20
