@@ -70,70 +70,6 @@ def status_code(col: Column) -> Column:
     return expr
 
 
-def audit_from_monthly_runs(
-    month_counts: DataFrame,
-    bronze_verdict: DataFrame,
-    gold_verdict: DataFrame,
-    dag_id: str = DAG_ID,
-) -> DataFrame:
-    """Audit rows of one monthly run per month, derived from the data and its gate results.
-
-    ``month_counts``: (pickup_month, rows) of the landed data; ``*_verdict``: per-month
-    :func:`gate_verdict` frames. Each run starts two hours into the month after the data
-    month; task durations grow with the rows. Three tasks per run:
-    bronze load (SUCCESS), bronze gate (SUCCESS or QUARANTINED, rows quarantined when it
-    fails) and gold gate (SUCCESS or FAILED, only when the bronze gate passed).
-    """
-    m = month_counts.alias("m")
-    b = bronze_verdict.select("pickup_month", F.col("pass_rate").alias("b_rate"),
-                              F.col("failed_expectations").alias("b_failed"), F.col("success").alias("b_ok"),
-                              F.col("suite_name").alias("b_suite"))
-    g = gold_verdict.select("pickup_month", F.col("pass_rate").alias("g_rate"),
-                            F.col("failed_expectations").alias("g_failed"), F.col("success").alias("g_ok"),
-                            F.col("suite_name").alias("g_suite"))
-    j = m.join(b, "pickup_month", "left").join(g, "pickup_month", "left")
-    start = F.to_timestamp(F.add_months(F.col("pickup_month"), 1)) + F.expr("INTERVAL 2 HOURS")
-    run_id = F.concat(F.lit("run-"), F.date_format("pickup_month", "yyyyMM"))
-    # durations in microseconds: load 30 s + 10 ms per row, gates 10 s + 1 ms per row
-    d_load = F.lit(30_000_000) + F.col("rows") * F.lit(10_000)
-    d_gate = F.lit(10_000_000) + F.col("rows") * F.lit(1_000)
-    t1 = F.timestamp_micros(F.unix_micros(start) + d_load)
-    t2 = F.timestamp_micros(F.unix_micros(t1) + d_gate)
-    t3 = F.timestamp_micros(F.unix_micros(t2) + d_gate)
-    b_ok = F.coalesce(F.col("b_ok"), F.lit(False))
-    g_ok = F.coalesce(F.col("g_ok"), F.lit(False))
-    empty = F.array().cast("array<string>")
-
-    def row(task, layer, table, rows_in, rows_out, quarantined, suite, rate, failed, s, f, status, err):
-        return F.struct(
-            run_id.alias("run_id"), F.lit(dag_id).alias("dag_id"), F.lit(task).alias("task_id"),
-            F.lit(layer).alias("layer"), F.lit(table).alias("table_name"), F.lit("testbed://lineitem").alias("source_url"),
-            F.lit("").alias("source_sha256"), F.lit(1).alias("schema_version"),
-            rows_in.cast("long").alias("rows_in"), rows_out.cast("long").alias("rows_out"),
-            quarantined.cast("long").alias("rows_quarantined"), suite.cast("string").alias("ge_suite_name"),
-            rate.cast("double").alias("ge_pass_rate"), failed.alias("ge_failed_expectations"),
-            s.alias("started_at"), f.alias("finished_at"),
-            ((F.unix_micros(f) - F.unix_micros(s)).cast("double") / F.lit(1e6)).alias("duration_sec"),
-            status.alias("status"), err.cast("string").alias("error_message"), F.lit("scheduled").alias("triggered_by"),
-        )
-
-    n = F.col("rows")
-    zero = F.lit(0)
-    rows = [
-        row("landing_to_bronze", "bronze", "bronze.trips", n, n, zero, F.lit(""), F.lit(1.0), empty,
-            start, t1, F.lit("SUCCESS"), F.lit(None)),
-        row("ge_bronze", "bronze", "bronze.trips", n, F.when(b_ok, n).otherwise(zero),
-            F.when(b_ok, zero).otherwise(n), F.col("b_suite"), F.col("b_rate"), F.coalesce(F.col("b_failed"), empty),
-            t1, t2, F.when(b_ok, "SUCCESS").otherwise("QUARANTINED"), F.lit(None)),
-        F.when(b_ok, row("ge_gold", "gold", "gold.fct_trips", n, n, zero, F.col("g_suite"), F.col("g_rate"),
-                         F.coalesce(F.col("g_failed"), empty), t2, t3,
-                         F.when(g_ok, "SUCCESS").otherwise("FAILED"),
-                         F.when(~g_ok, F.substring(F.array_join(F.col("g_failed"), ";"), 1, 500)))),
-    ]
-    out = j.select(F.explode(F.filter(F.array(*rows), lambda x: x.isNotNull())).alias("r")).select("r.*")
-    return out.toDF(*AUDIT_SCHEMA.fieldNames())
-
-
 def recent_runs(audit: DataFrame, n: int = 20) -> DataFrame:
     """Newest runs first (a top-n report)."""
     return audit.orderBy(F.col("finished_at").desc(), "run_id", "task_id").limit(n).select(

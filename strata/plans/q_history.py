@@ -12,13 +12,16 @@ from strata.operators.quality.history import KeyHistory, key_types
 from strata.ops import sketches
 from strata.plans import erasure
 from strata.plans import oracle as O
-from strata.plans.monthly import Tables
+from strata.plans.graph import run_graph
+from strata.plans.models import RunParams
+from strata.plans.monthly import Tables, land_months
 from strata.plans.q_ops import PROFILE_COLS
-from strata.plans.q_quality import BRONZE_DECIMALS, BRONZE_M, bronze_m
+from strata.plans.q_quality import BRONZE_DECIMALS, BRONZE_M, CHAIN_GATE, GOLD_RESULTS, GOLD_VERDICT, bronze_m
 from strata.plans.registry import models, register
 from strata.schemas import SOURCE_TYPES
 from strata.session import scratch_path
 from strata.sinks.writers import overwrite_partitions
+from strata.sources import testbed
 
 BY_YEAR = "bronze_y AS (SELECT *, year(pickup_month) AS pickup_year FROM bronze_m)"
 NUMBERS = [c for c, t in SOURCE_TYPES.items() if t.typeName() in ("decimal", "integer")]
@@ -230,3 +233,63 @@ def _files(spark, path):
     at = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(path)
     name = F.col("_metadata.file_path")
     return at.select(F.to_date(F.regexp_extract(name, "pickup_month=([0-9-]+)", 1)).alias("pickup_month"), name.alias("path"))
+
+
+# -- the whole run --------------------------------------------------------------
+
+_EMPTY = "CAST([] AS VARCHAR[])"
+
+
+def _step_sql(task, layer, table, rows_in, rows_out, where="ok", bad="0", suite="''", rate="1.0", failed=_EMPTY, status="'SUCCESS'"):
+    return (
+        f"SELECT pickup_month, '{task}' AS task_id, '{layer}' AS layer, '{table}' AS table_name, {rows_in}::BIGINT AS rows_in, "
+        f"{rows_out}::BIGINT AS rows_out, {bad}::BIGINT AS rows_quarantined, {suite} AS ge_suite_name, {rate}::DOUBLE AS ge_pass_rate, "
+        f"{failed} AS ge_failed_expectations, {status} AS status, TRUE AS measured FROM j WHERE {where}"
+    )
+
+
+@register(
+    "run_graph",
+    O.with_(
+        CHAIN_GATE + O.CHAIN_FCT[len(O.CHAIN_BRONZE):] + [O.DAILY, GOLD_RESULTS, GOLD_VERDICT],
+        """j AS (
+  SELECT m.pickup_month, m.n, coalesce(b.success, FALSE) AS ok, b.pass_rate AS b_rate, b.failed_expectations AS b_failed,
+    g.success AS g_ok, g.pass_rate AS g_rate, g.failed_expectations AS g_failed, d.days
+  FROM (SELECT pickup_month, count(*) AS n FROM bronze_m GROUP BY 1) m
+  JOIN (SELECT pickup_month, count(*) AS days FROM daily GROUP BY 1) d USING (pickup_month)
+  LEFT JOIN bronze_verdict b USING (pickup_month) LEFT JOIN gold_verdict g USING (pickup_month)
+)
+"""
+        + "\nUNION ALL\n".join([
+            _step_sql("landing_to_bronze", "bronze", "bronze.trips", "n", "n", "TRUE"),
+            _step_sql("ge_bronze", "bronze", "bronze.trips", "n", "CASE WHEN ok THEN n ELSE 0 END", "TRUE", "CASE WHEN ok THEN 0 ELSE n END",
+                      "'bronze'", "b_rate", "b_failed", "CASE WHEN ok THEN 'SUCCESS' ELSE 'QUARANTINED' END"),
+            _step_sql("silver", "silver", "silver.stg_trips", "n", "n"),
+            _step_sql("gold", "gold", "gold.fct_trips", "n", "n"),
+            _step_sql("serving", "gold", "gold.v_trips_summary", "days", "days"),
+            _step_sql("ge_gold", "gold", "gold.fct_trips", "n", "n", suite="'gold'", rate="g_rate", failed="g_failed",
+                      status="CASE WHEN g_ok THEN 'SUCCESS' ELSE 'FAILED' END"),
+        ]),
+    ),
+)
+def q_run_graph(spark, sf_dir):
+    """Land every month, run all steps from landing to serving, and read the months' audit rows.
+
+    measured: the row's times are those of a step that took time, in the order of the steps.
+    """
+    root = scratch_path(spark, f"graph-{uuid.uuid4().hex}")
+    raw = testbed.trips_raw(spark, sf_dir)
+    month = F.trunc("tpep_pickup_datetime", "month")
+    land_months(raw.withColumn("_m", month).hint("rebalance", "_m").drop("_m"), f"{root}/landing", month)
+    landed = spark.read.parquet(f"{root}/landing").select("year", "month").distinct()
+    months = [r[0] for r in landed.select(F.make_date(F.col("year").cast("int"), F.col("month").cast("int"), F.lit(1))).collect()]
+    audit = run_graph(
+        spark, Tables(f"{root}/tables"), f"{root}/landing", months, testbed.zone_seed(spark, sf_dir), RunParams(run_id="graph"),
+        X.TESTBED_BRONZE_SUITE, X.TESTBED_GOLD_SUITE,
+    )
+    at = F.to_date(F.concat(F.regexp_extract("run_id", "-([0-9]{6})$", 1), F.lit("01")), "yyyyMMdd")
+    timed = (F.col("finished_at") > F.col("started_at")) & (F.col("duration_sec") > 0)
+    return audit.where("run_id LIKE 'graph-%'").select(
+        at.alias("pickup_month"), "task_id", "layer", "table_name", "rows_in", "rows_out", "rows_quarantined", "ge_suite_name",
+        "ge_pass_rate", "ge_failed_expectations", "status", timed.alias("measured"),
+    )

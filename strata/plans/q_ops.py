@@ -44,7 +44,7 @@ def _audit_log(spark, sf_dir):
     verdict = X.gate_verdict(results, ["pickup_month"], "testbed_bronze")
     # gate outcomes are per-month summaries the pipeline stores; materialise the gold one too
     gold = gold_verdict(spark, sf_dir).checkpoint(eager=True)
-    return A.audit_from_monthly_runs(counts, verdict, gold)
+    return testbed.simulated_audit(counts, verdict, gold)
 
 
 def _audit_sql() -> list[str]:

@@ -22,6 +22,15 @@ def overwrite_partitions(
     that receives no row is cleared: dynamic overwrite alone would leave its old rows.
     The counts come from an Observation on the same job (no second scan).
     """
+    return _overwrite(df, path, partition_col, months, fmt)[0]
+
+
+def overwrite_months(df: DataFrame, path: str, months: list[dt.date], partition_col: str = "pickup_month") -> dict[dt.date, int]:
+    """:func:`overwrite_partitions` of several months; the rows written of each."""
+    return _overwrite(df, path, partition_col, months, "parquet")[1]
+
+
+def _overwrite(df: DataFrame, path: str, partition_col: str, months: list[dt.date] | None, fmt: str) -> tuple[int, dict[dt.date, int]]:
     if months:
         df = df.filter(F.col(partition_col).isin([F.lit(m) for m in months]))
     obs = Observation("rows_written")
@@ -35,8 +44,9 @@ def overwrite_partitions(
         .save(path)
     )
     found = obs.get
-    clear_partitions(df.sparkSession, path, partition_col, [m for i, m in enumerate(months or []) if not found[f"m{i}"]])
-    return int(found["rows"])
+    by_month = {m: int(found[f"m{i}"]) for i, m in enumerate(months or [])}
+    clear_partitions(df.sparkSession, path, partition_col, [m for m, n in by_month.items() if not n])
+    return int(found["rows"]), by_month
 
 
 def clear_partitions(spark: SparkSession, path: str, partition_col: str, months: list[dt.date]) -> None:
