@@ -5,7 +5,7 @@ with the inclusion probability m - floor(m) by balanced sampling: the cube metho
 of fractional probabilities through the null space of the balancing constraints (token total and
 document total), which ends with probabilities of 0 and 1 but for at most as many as constraints.
 
-Here the flight runs in blocks: documents of a source are dealt by a hash of doc_id into blocks of
+Here the flight runs in blocks: documents of a source are dealt by a hash of doc_id and size into blocks of
 about BLOCK rows, each flown on its own; the few rows a block leaves fractional are flown again
 with those of MERGE other blocks, and so on until a source has one block. The small landing problem
 that remains there (at most two rows) is flown with the token total alone, and a last row is drawn.
@@ -15,8 +15,8 @@ Targets are water-filling over the pre-aggregated sources: target = min(weight *
 where the level shares out exactly the sum of all sizes.
 
 Defined results: null text has size 0, a null source is a source like another and last in order.
-Rows that repeat a doc_id are rows of their own, ordered by size. Empty tables give no row; other
-columns pass through ``mix``.
+Rows that repeat a doc_id are rows of their own, ordered by size and dealt to blocks by it as well. Empty
+tables give no row; other columns pass through ``mix`` if they are named and are none of its results.
 """
 
 from __future__ import annotations
@@ -119,15 +119,18 @@ def _flown(last: bool):
     return run
 
 
-def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST) -> DataFrame:
-    """``docs`` (doc_id, text, source, ...) with size, source_size, target and copies (times taken)."""
+def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST, columns: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, source, size, source_size, target, copies) of ``docs`` (doc_id, text, source), and ``columns`` of it.
+
+    copies: how often the row is taken.
+    """
     spark = docs.sparkSession
     words = F.regexp_count(F.coalesce("text", F.lit("")), F.lit(r"[^\x20\x09-\x0D]+")).cast("long")
-    made = ("size", "source_size", "target", "copies")
-    keep = [c for c in docs.columns if c not in made]
-    sizes = store(
-        docs.select("doc_id", "source", words.alias("size"), F.monotonically_increasing_id().alias("row")), "mix-sizes"
-    )
+    made = ("doc_id", "source", "size", "source_size", "target", "copies")
+    columns = tuple(c for c in columns if c not in made)
+    kept = [F.struct(*columns).alias("kept")] if columns else []
+    rows = store(docs.select("doc_id", "source", words.alias("size"), F.monotonically_increasing_id().alias("row"), *kept), "mix-sizes")
+    sizes = rows.select("doc_id", "source", "size", "row")
     per = targets(sizes.select("source", "size"), weights, most)
     # One row a source: small next to documents, and joined by the planner's own choice.
     key = per.withColumnRenamed("source", "_s").withColumn(
@@ -137,7 +140,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST) -
     units = sizes.join(key, sizes["source"].eqNullSafe(key["_s"]), "inner").select(
         "doc_id", "row", "source", "size", "source_size", "target",
         F.floor("_m").cast("long").alias("base"), (F.col("_m") - F.floor("_m")).alias("p"),
-        F.pmod(F.xxhash64("doc_id"), blocks).alias("block"), blocks.cast("long").alias("blocks"),
+        F.pmod(F.xxhash64("doc_id", "size"), blocks).alias("block"), blocks.cast("long").alias("blocks"),
     )
     schema = "doc_id long, row long, source string, size long, p double, block long, blocks long, level int"
     left = units.select("doc_id", "row", "source", "size", "p", "block", "blocks", F.lit(0).alias("level"))
@@ -159,7 +162,9 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST) -
         most_blocks, level = -(-most_blocks // MERGE), level + 1
     drawn = done.select("row", F.col("p").cast("long").alias("_drawn"))
     out = units.join(drawn, "row").withColumn("copies", F.col("base") + F.col("_drawn"))
-    return out.select("doc_id", "source", "size", "source_size", "target", "copies")
+    if columns:  # texts and the like meet their row again only here
+        out = out.join(rows.select("row", "kept"), "row")
+    return out.select(*made, *(F.col("kept").getField(c).alias(c) for c in columns))
 
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

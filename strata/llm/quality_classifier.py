@@ -6,13 +6,15 @@ better; a logistic curve fitted on labelled texts that the dictionaries have not
 a score from 0 to 1.
 
 Learning reads a bounded sample of labelled rows: at most SAMPLE_ROWS of each label, those with the
-smallest hash of doc_id, of which every second one goes to the dictionaries (at most DICT_PIECES
-pieces each) and the others to the curve. Of a row at most SAMPLE_BYTES bytes are fetched to learn
-from. Scoring reads every byte of every text where it lies; there is no shuffle, and the model (two
-dictionaries of DICT_BYTES and two numbers) goes to the tasks with the function.
+smallest hash of doc_id and text. Every second one is for the dictionaries: its whole text is cut into
+pieces by the tasks, and the DICT_PIECES pieces with the smallest hash of row and place, from
+anywhere in the texts, come to the driver. The others are for the curve: the tasks compress their whole
+texts and only the differences come back. Scoring reads every byte of every text where it lies; there
+is no shuffle, and the model (two dictionaries of DICT_BYTES and two numbers) goes to the tasks
+with the function.
 
 Defined results: null and empty texts get the curve's value at a difference of 0. Labels with null
-doc_id or quality are not learnt from. If a label has too few rows for a dictionary, the model knows
+doc_id or quality are not learnt from, nor are doc_ids that are labelled both ways. If a label has too few rows for a dictionary, the model knows
 nothing and every score is the share of label 1 (0.5 without labels). Repeated rows get equal scores;
 other columns pass through ``score_quality``.
 """
@@ -29,11 +31,11 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm.common import slices, table
-from strata.llm.tokens import utf8
+from strata.llm.common import slices, store, table
+from strata.llm.tokens import mix, utf8
 
 PIECE, LEVEL, DICT_BYTES = 1024, 3, 16 << 10
-SAMPLE_ROWS, SAMPLE_BYTES, DICT_PIECES = 2000, 16 << 10, 4000
+SAMPLE_ROWS, DICT_PIECES = 2000, 4000
 
 
 @dataclass(frozen=True)
@@ -64,11 +66,29 @@ class Differ:
         return (bad - good) / (bad + good) if good else 0.0
 
 
-def _pieces(texts: list[bytes]) -> list[bytes]:
-    """Pieces for a dictionary, from all texts in turn."""
-    cut = [[t[i : i + PIECE] for i in range(0, len(t), PIECE)] for t in texts]
-    out = [p[k] for k in range(max(map(len, cut), default=0)) for p in cut if k < len(p)]
-    return out[:DICT_PIECES]
+def _differences(differ, column: pa.Array) -> np.ndarray:
+    """The difference of each whole text."""
+    buf, off = utf8(column)
+    view = memoryview(np.ascontiguousarray(buf))
+    return np.array([differ(view[off[i] : off[i + 1]]) for i in range(len(off) - 1)])
+
+
+def _pieces(rows: DataFrame) -> list[bytes]:
+    """The DICT_PIECES pieces of whole texts (o, text) with the smallest hashes; o: a number of the row."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches, "text"):
+            buf, off = utf8(b.column("text"))
+            at = [(i, s) for i, (s, e) in enumerate(zip(off[:-1].tolist(), off[1:].tolist(), strict=True)) for s in range(s, e, PIECE)]
+            row = np.array([i for i, _ in at], np.int64)
+            start = np.array([s for _, s in at], np.int64)
+            o = b.column("o").to_numpy()[row] if len(row) else row
+            order = mix(o.view(np.uint64) + mix((start - off[row]).astype(np.uint64))).view(np.int64) if len(row) else row
+            data = [buf[s : min(s + PIECE, off[i + 1])].tobytes() for i, s in at]
+            yield pa.RecordBatch.from_arrays([pa.array(order), pa.array(data, pa.binary())], ["o", "data"])
+
+    found = rows.select("o", "text").mapInArrow(run, "o long, data binary").orderBy("o", "data").limit(DICT_PIECES)
+    return [bytes(r["data"]) for r in found.collect()]
 
 
 def fit_curve(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
@@ -87,40 +107,40 @@ def fit_curve(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return float(w[0] / scale), float(w[1])
 
 
-def learn(labelled: DataFrame) -> Model:
-    """A model from (doc_id, text, quality); the sample's rows are its only way to the driver.
+def _sample(known: DataFrame, label: int) -> DataFrame:
+    """(o, text, dictionary) of the sampled rows of a label, equal rows once.
 
-    Ids are picked first, without texts; then the bounded list of ids fetches its texts.
+    Rows are picked without their texts; then the bounded list of hashes fetches them.
     """
-    spark = labelled.sparkSession
+    mine = known.where(F.col("quality") == label).withColumn("o", F.xxhash64(F.col("doc_id").cast("string"), "text"))
+    picked = mine.select("o", "doc_id").distinct().orderBy("o", "doc_id").limit(SAMPLE_ROWS).collect()
+    rows = [(r["o"], r["doc_id"], i % 2 == 0) for i, r in enumerate(picked)]
+    wanted = known.sparkSession.createDataFrame(rows, "o long, doc_id long, dictionary boolean")
+    return mine.join(F.broadcast(wanted), ["o", "doc_id"]).dropDuplicates(["o", "doc_id"]).select("o", "text", "dictionary")
+
+
+def learn(labelled: DataFrame) -> Model:
+    """A model from (doc_id, text, quality); pieces and differences of the sample come to the driver."""
     known = labelled.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull())
-    order = F.xxhash64(F.col("doc_id").cast("string"))
-    rows = []
-    for label in (0, 1):
-        ids = known.where(F.col("quality") == label).select("doc_id", order.alias("o")).orderBy("o", "doc_id").limit(SAMPLE_ROWS).collect()
-        wanted = spark.createDataFrame([(r["doc_id"],) for r in ids], "_id long")
-        texts = (
-            known.where(F.col("quality") == label)
-            .join(F.broadcast(wanted), F.col("doc_id") == F.col("_id"), "left_semi")
-            .select("doc_id", F.substring(F.encode("text", "utf-8"), 1, SAMPLE_BYTES).alias("data"))
-            .where(F.octet_length("data") > 0)
-            .limit(2 * SAMPLE_ROWS)
-            .collect()
-        )
-        place = {r["doc_id"]: i for i, r in enumerate(ids)}
-        rows.append([bytes(r["data"]) for r in sorted(texts, key=lambda r: (place[r["doc_id"]], r["data"]))])
-    n = known.agg(
-        F.coalesce(F.avg(F.col("quality").cast("double")), F.lit(0.5)).alias("share")
-    ).first()
-    share = min(max(n["share"], 0.01), 0.99)
+    share = known.agg(F.coalesce(F.avg(F.col("quality").cast("double")), F.lit(0.5)).alias("share")).first()["share"]
+    share = min(max(share, 0.01), 0.99)
     base = math.log(share / (1 - share))
+    samples = [store(_sample(known, label), "labelled") for label in (0, 1)]
     try:
-        bad, good = (zstandard.train_dictionary(DICT_BYTES, _pieces(r[::2])).as_bytes() for r in rows)
+        bad, good = (zstandard.train_dictionary(DICT_BYTES, _pieces(s.where("dictionary"))).as_bytes() for s in samples)
     except (zstandard.ZstdError, ValueError):
         return Model(b"", b"", 0.0, base)
-    differ = Differ(good, bad)
-    x = np.array([differ(memoryview(t)) for r in rows for t in r[1::2]])
-    y = np.concatenate([np.full(len(r[1::2]), k, float) for k, r in enumerate(rows)])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        differ = Differ(good, bad)
+        for b in slices(batches, "text"):
+            yield pa.RecordBatch.from_arrays([b.column("o"), pa.array(_differences(differ, b.column("text")), pa.float64())], ["o", "x"])
+
+    found = [s.where("NOT dictionary").select("o", "text").mapInArrow(run, "o long, x double").orderBy("o", "x").collect() for s in samples]
+    x = np.array([r["x"] for rows in found for r in rows])
+    y = np.concatenate([np.full(len(rows), k, float) for k, rows in enumerate(found)])
+    if not len(x):
+        return Model(good, bad, 0.0, base)
     slope, offset = fit_curve(x, y)
     # The sample has its own share of label 1; the curve is moved to the share of all labelled rows.
     own = min(max(y.mean(), 0.01), 0.99)
@@ -135,9 +155,7 @@ def score_quality(docs: DataFrame, model: Model, column: str = "score") -> DataF
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         differ = Differ(model.good, model.bad) if model.good else lambda _: 0.0
         for b in slices(batches, "text"):
-            buf, off = utf8(b.column("text"))
-            view = memoryview(np.ascontiguousarray(buf))
-            x = np.array([differ(view[off[i] : off[i + 1]]) for i in range(b.num_rows)])
+            x = _differences(differ, b.column("text"))
             s = 1 / (1 + np.exp(-np.clip(model.slope * x + model.offset, -30, 30)))
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in keep), pa.array(s, pa.float64())], [*keep, column])
 
@@ -151,7 +169,8 @@ def fold(doc_id: str) -> Column:
 def model_for(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Model:
     """Learnt from the labelled ``docs`` whose crc32(doc_id) mod 3 is not 1."""
     labels = table(spark, sf_dir, "labels").select("doc_id", "quality").where(fold("doc_id") != 1)
-    return learn(docs.select("doc_id", "text").join(labels.dropDuplicates(["doc_id"]), "doc_id"))
+    one = labels.groupBy("doc_id").agg(F.min("quality").alias("quality"), F.max("quality").alias("other"))
+    return learn(docs.select("doc_id", "text").join(one.where("quality = other").drop("other"), "doc_id"))
 
 
 def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:

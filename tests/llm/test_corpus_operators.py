@@ -1,6 +1,7 @@
 """Operators over whole tables: audit, chat format, mixing, Jaccard join, classifier, pipeline."""
 
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -8,11 +9,12 @@ from collections import Counter
 
 import numpy as np
 import pytest
+import zstandard
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from strata.llm import jaccard_join
+from strata.llm import jaccard_join, quality_classifier
 from strata.llm.chat_format import CHAT, Formatter, digests, format_conversations
 from strata.llm.components import components
 from strata.llm.common import store
@@ -142,6 +144,14 @@ def test_mix_meets_targets_and_repeats(spark):
     assert mix(df.limit(0)).count() == 0
 
 
+def test_mix_hands_columns_through(spark):
+    rows = [(i % 7 if i % 5 else None, text_of(i % 30, i), f"s{i % 3}", i, f"k{i}") for i in range(300)] + [(1, None, None, -1, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, row int, kept string")
+    got = mix(df, columns=("text", "row", "kept", "source"))
+    assert sorted((r.row, r.text, r.kept, r.doc_id, r.source) for r in got.collect()) == sorted((r[3], r[1], r[4], r[0], r[2]) for r in rows)
+    assert got.columns == ["doc_id", "source", "size", "source_size", "target", "copies", "text", "row", "kept"]
+
+
 # --- Jaccard join
 
 
@@ -263,6 +273,52 @@ def test_classifier_without_labels_and_odd_texts(spark):
     assert score_quality(df.limit(0), Model(b"", b"", 0.0, 0.0)).count() == 0
 
 
+def plain_difference(model, text):
+    """Compressed sizes of the whole text's pieces, one plain call after another."""
+    sizes = []
+    for data in (model.good, model.bad):
+        d = zstandard.ZstdCompressionDict(data)
+        d.precompute_compress(level=quality_classifier.LEVEL)
+        c = zstandard.ZstdCompressor(level=quality_classifier.LEVEL, dict_data=d, write_content_size=False, write_dict_id=False)
+        b = (text or "").encode()
+        sizes.append(sum(len(c.compress(b[i : i + 1024])) for i in range(0, len(b), 1024)))
+    good, bad = sizes
+    return (bad - good) / (bad + good) if good else 0.0
+
+
+def test_scores_are_those_of_a_plain_version(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    model = quality_classifier.model_for(spark, docs, SF)
+    assert model == quality_classifier.model_for(spark, docs.repartition(5), SF)  # the sample does not hang on partitions
+    some = docs.where("doc_id % 20 = 0")
+    for r in score_quality(some, model).collect():
+        want = 1 / (1 + math.exp(-max(-30, min(30, model.slope * plain_difference(model, r.text) + model.offset))))
+        assert abs(r.score - want) < 1e-12
+
+
+def test_texts_are_learnt_from_as_a_whole(spark):
+    """Both labels begin alike for 20 KB; only what comes after tells them apart."""
+    rows = []
+    for i in range(240):
+        good = i % 2
+        head, tail = text_of(3000, ("head", i).__hash__(), 500), text_of(900, ("tail", i).__hash__(), 300).replace("w", "good" if good else "bad")
+        rows.append((i, head + " " + tail, good))
+    df = spark.createDataFrame(rows, "doc_id long, text string, quality int")
+    scored = score_quality(df.where("doc_id >= 160"), learn(df.where("doc_id < 160"))).collect()
+    assert sum((r.score >= 0.5) == bool(r.quality) for r in scored) >= 0.9 * len(scored)
+
+
+def test_repeated_and_contradicting_labels(spark, tmp_path):
+    docs = [(i % 40, text_of(300, i, 400) + (" fine" if i % 40 % 2 else " poor") * 60) for i in range(160)]
+    labels = [(d, d % 2, 0) for d in range(40)] * 2 + [(3, 0, 0), (4, 1, 0), (None, 1, 1), (5, None, 0)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    for seed in (1, 2):
+        random.Random(seed).shuffle(labels)
+        spark.createDataFrame(labels, "doc_id long, quality int, toxic int").repartition(seed + 1).write.parquet(f"{tmp_path}/{seed}/labels.parquet")
+    models = [quality_classifier.model_for(spark, df, f"{tmp_path}/{seed}") for seed in (1, 2)]
+    assert models[0] == models[1] and models[0].good
+
+
 # --- Pipeline
 
 
