@@ -44,8 +44,8 @@ def leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """How often each document is taken, so that sources meet their target weights."""
-    return mix(docs).withColumn("taken", (F.col("size") * F.col("copies")).cast("long"))
+    """The documents with how often each is taken, so that sources meet their target weights."""
+    return mix(docs, columns=tuple(docs.columns)).withColumn("taken", (F.col("size") * F.col("copies")).cast("long"))
 
 
 STAGES = [
