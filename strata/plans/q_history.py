@@ -5,23 +5,27 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
-from strata.operators import ingest
+from strata.operators import asof, ingest
 from strata.operators.quality import expectations as X
 from strata.operators.quality.history import KeyHistory, key_types
-from strata.ops import sketches
+from strata.ops import fingerprint, sketches
 from strata.plans import erasure
 from strata.plans import oracle as O
 from strata.plans.graph import run_graph
 from strata.plans.models import RunParams
 from strata.plans.monthly import Tables, land_months
-from strata.plans.q_ops import PROFILE_COLS
+from strata.plans.q_ingest import _scd_sql_ctes, zone_history
+from strata.plans.q_ops import PROFILE_COLS, RUN_METADATA, _fingerprint_sql
 from strata.plans.q_quality import BRONZE_DECIMALS, BRONZE_M, CHAIN_GATE, GOLD_RESULTS, GOLD_VERDICT, bronze_m
 from strata.plans.registry import models, register
-from strata.schemas import SOURCE_TYPES
+from strata.schemas import RAW_SCHEMA, SOURCE_TYPES
 from strata.session import scratch_path
-from strata.sinks.writers import overwrite_partitions
+from strata.sinks.writers import clear_partitions, overwrite_partitions
 from strata.sources import testbed
+from strata.streaming.load import bronze_loader, ledger
+from strata.streaming.pickup import ingest_available_now
 
 BY_YEAR = "bronze_y AS (SELECT *, year(pickup_month) AS pickup_year FROM bronze_m)"
 NUMBERS = [c for c, t in SOURCE_TYPES.items() if t.typeName() in ("decimal", "integer")]
@@ -293,3 +297,85 @@ def q_run_graph(spark, sf_dir):
         at.alias("pickup_month"), "task_id", "layer", "table_name", "rows_in", "rows_out", "rows_quarantined", "ge_suite_name",
         "ge_pass_rate", "ge_failed_expectations", "status", timed.alias("measured"),
     )
+
+
+# -- as-of join, incremental fingerprint, incremental load ----------------------------
+
+
+@register(
+    "scd2_as_of",
+    O.with_(
+        O.CHAIN_FCT + [O.ZONE] + _scd_sql_ctes(),
+        """SELECT f.pickup_month, f.pu_location_id, h.valid_from AS dim_valid_from, h.zone_name AS dim_zone_name, COUNT(*) AS trips
+FROM fct f LEFT JOIN h3 h ON f.pu_location_id = h.location_id AND f.pickup_at >= h.valid_from
+  AND (h.valid_to IS NULL OR f.pickup_at < h.valid_to)
+GROUP BY ALL""",
+    ),
+)
+def q_scd2_as_of(spark, sf_dir):
+    """Trips with the zone version valid at pickup, by the as-of scan (no broadcast), counted by month."""
+    fct = models(spark, sf_dir).fct_trips.select("pickup_month", "pu_location_id", "pickup_at")
+    j = asof.as_of(fct, zone_history(spark, sf_dir), "pu_location_id", "location_id", "pickup_at", ["zone_name"], 30 * asof.SLICE)
+    return j.groupBy("pickup_month", "pu_location_id", F.col("valid_from").alias("dim_valid_from"), "dim_zone_name").agg(F.count("*").alias("trips"))
+
+
+_CHANGED_MONTHS = """numbered AS (
+  SELECT pickup_month, row_number() OVER (ORDER BY pickup_month) AS i FROM (SELECT DISTINCT pickup_month FROM bronze_all)
+), bronze_m AS (
+  SELECT b.* FROM bronze_all b JOIN numbered USING (pickup_month) WHERE i <> 3 AND (i <> 2 OR PULocationID % 2 = 1)
+)"""
+
+
+@register(
+    "incremental_fingerprint",
+    O.with_(O.CHAIN_BRONZE + [BRONZE_M.replace("bronze_m AS", "bronze_all AS"), _CHANGED_MONTHS], _fingerprint_sql()),
+)
+def q_incremental_fingerprint(spark, sf_dir):
+    """Fingerprint of a table after a month was added, one replaced and one removed, from file rows."""
+    bronze = bronze_m(spark, sf_dir).drop(*RUN_METADATA)
+    path, state = (scratch_path(spark, f"{name}-{uuid.uuid4().hex}") for name in ("fingerprinted", "file-hashes"))
+    months = sorted(r[0] for r in bronze.select("pickup_month").distinct().collect())
+    first = bronze.where(F.col("pickup_month") != F.lit(months[0]))
+    overwrite_partitions(first.hint("rebalance", "pickup_month"), path)
+    fingerprint.refresh(spark, path, state, "pickup_month", method="md5")
+    odd = bronze.where((F.col("pickup_month") == F.lit(months[1])) & (F.col("PULocationID") % 2 == 1))
+    overwrite_partitions(bronze.where(F.col("pickup_month") == F.lit(months[0])).unionByName(odd), path)
+    clear_partitions(spark, path, "pickup_month", [months[2]])
+    now, _ = fingerprint.refresh(spark, path, state, "pickup_month", method="md5")
+    return fingerprint.table_fingerprint(now, "part").select(F.to_date("part").alias("pickup_month"), "rows", "content_hash")
+
+
+@register(
+    "stream_incremental_load",
+    O.with_(
+        O.CHAIN_BRONZE[:2],
+        """SELECT CAST(date_trunc('month', tpep_pickup_datetime) AS DATE) AS pickup_month, COUNT(*) AS rows, COUNT(*) AS ledger_rows,
+  CAST(SUM(total_amount) AS DECIMAL(20,2)) AS revenue, 2::BIGINT AS files
+FROM bronze_u GROUP BY 1 HAVING COUNT(DISTINCT VendorID) = 2
+UNION ALL SELECT CAST(date_trunc('month', tpep_pickup_datetime) AS DATE), COUNT(*), COUNT(*), CAST(SUM(total_amount) AS DECIMAL(20,2)), 1
+FROM bronze_u GROUP BY 1 HAVING COUNT(DISTINCT VendorID) = 1""",
+    ),
+)
+def q_stream_incremental_load(spark, sf_dir):
+    """Months landed as a file for each vendor, loaded by a stream in several batches, then all of it once more."""
+    run = scratch_path(spark, f"incremental-{uuid.uuid4().hex}")
+    raw = testbed.trips_raw(spark, sf_dir)
+    at = raw.withColumn("year", F.year("tpep_pickup_datetime")).withColumn("month", F.month("tpep_pickup_datetime"))
+    for vendor in (1, 2):  # the second vendor's files come to months that are there
+        mine = at.where(F.col("VendorID") == vendor).hint("rebalance", "year", "month")
+        mine.write.mode("append").partitionBy("year", "month").parquet(f"{run}/landing")
+
+    def to_bronze(batch):
+        bronze = ingest.bronze_from_landing(batch.drop("year", "month"), "stream", F.col("_file"), "", "2024-02-01 02:00:00")
+        return ingest.with_pickup_month(bronze)
+
+    load = bronze_loader(f"{run}/bronze", f"{run}/ledger", to_bronze)
+    schema = StructType([*RAW_SCHEMA.fields, StructField("year", IntegerType()), StructField("month", IntegerType())])
+    named = lambda s: s.withColumn("_file", F.col("_metadata.file_path"))
+    for checkpoint in ("first", "replay"):  # a lost checkpoint delivers every file again
+        ingest_available_now(spark, f"{run}/landing", schema, f"{run}/{checkpoint}", load, named, max_files_per_trigger=90)
+    bronze = spark.read.parquet(f"{run}/bronze").groupBy("pickup_month").agg(
+        F.count("*").alias("rows"), F.sum("total_amount").cast("decimal(20,2)").alias("revenue")
+    )
+    on_record = ledger(spark, f"{run}/ledger").groupBy("pickup_month").agg(F.sum("rows").alias("ledger_rows"), F.count("*").alias("files"))
+    return bronze.join(on_record, "pickup_month")
