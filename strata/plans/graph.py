@@ -15,12 +15,13 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.operators import dims, facts, ingest, privacy, scd2, silver, subjects
+from strata.operators import dims, facts, ingest, lattice, privacy, scd2, silver, subjects
 from strata.operators.quality import expectations as X
 from strata.operators.quality import structural
 from strata.ops.steps import Steps, utc_now
 from strata.plans.models import RunParams
 from strata.plans.monthly import PM, Tables, _delete, _exists, table_schema
+from strata.schemas import SOURCE_TYPES
 from strata.session import scratch_path
 from strata.sinks.writers import overwrite_months, overwrite_partitions, replace
 from strata.sizing import bounded_broadcast
@@ -93,13 +94,19 @@ def run_graph(
         raw = raw.join(bounded_broadcast(files), "_source_file", "left")  # a row a file
         landed = F.make_date(F.col("year").cast("int"), F.col("month").cast("int"), F.lit(1))
         bronze_u = ingest.bronze_from_landing(
-            raw.withColumn("_file_month", landed).drop("year", "month"), params.run_id, F.col("_source_file"), F.col("_sha"),
+            lattice.with_rejects(raw.withColumn("_file_month", landed).drop("year", "month"), SOURCE_TYPES), params.run_id, F.col("_source_file"), F.col("_sha"),
             params.ingested_at, params.schema_version, table_schema(spark, tables.bronze),
         )
         routed = ingest.route_by_file_month(ingest.with_pickup_month(bronze_u), F.col("_file_month")).drop("_source_file", "_sha")
         stage = scratch_path(spark, f"graph-{uuid.uuid4().hex}")
         routed.write.parquet(stage)
         staged = spark.read.schema(routed.schema).parquet(stage)
+        # Rows with a value that its column cannot hold are kept as they came, and not loaded.
+        rejected = staged.where("_reject_reason IS NOT NULL").select(
+            "_reject_reason", "_original", "_source_url", "_run_id", F.col("_file_month").alias("_landing_month")
+        )
+        rejected_rows = overwrite_months(rejected, tables.rejected, months, "_landing_month")
+        staged = staged.where("_reject_reason IS NULL").drop("_reject_reason", "_original")
         strays = staged.where("_route = 'late_or_early'").withColumn("_landing_month", F.col("_file_month")).drop("_file_month")
         stray_rows = overwrite_months(strays, tables.late_or_early, months, "_landing_month")
         keep = staged.where("_route = 'in_month'").drop("_route", "_file_month")
@@ -110,7 +117,7 @@ def run_graph(
         rows = overwrite_months(bronze, tables.bronze, months)
         _delete(spark, stage)
         for m in months:
-            step.report(m, rows_in=rows[m] + stray_rows[m], rows_out=rows[m])
+            step.report(m, rows_in=rows[m] + stray_rows[m] + rejected_rows[m], rows_out=rows[m], rows_quarantined=rejected_rows[m])
 
     with steps.audited("ge_bronze", "bronze", "bronze.trips", months) as step:
         b = stored("bronze")

@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
-from strata.operators import asof, ingest
+from strata.operators import asof, ingest, lattice
 from strata.operators.quality import expectations as X
 from strata.operators.quality.history import KeyHistory, key_types
 from strata.ops import fingerprint, sketches
@@ -379,3 +379,33 @@ def q_stream_incremental_load(spark, sf_dir):
     )
     on_record = ledger(spark, f"{run}/ledger").groupBy("pickup_month").agg(F.sum("rows").alias("ledger_rows"), F.count("*").alias("files"))
     return bronze.join(on_record, "pickup_month")
+
+
+@register(
+    "rejected_rows",
+    O.with_(
+        [O.RAW],
+        """drifted AS (
+  SELECT date_trunc('month', tpep_pickup_datetime)::DATE AS pickup_month,
+    CASE WHEN passenger_count = 7 THEN 'n/a' END AS riders, CASE WHEN trip_distance >= 50 THEN trip_distance::VARCHAR || ' km' END AS miles
+  FROM raw
+)
+SELECT pickup_month, count(*) AS landed, count(*) - count(coalesce(riders, miles)) AS loaded, count(coalesce(riders, miles)) AS rejected,
+  count(riders) AS bad_passenger_count, count(miles) AS bad_trip_distance, sum(CASE WHEN riders IS NOT NULL AND miles IS NOT NULL THEN 1 ELSE 0 END)::BIGINT AS bad_both
+FROM drifted GROUP BY pickup_month""",
+    ),
+)
+def q_rejected_rows(spark, sf_dir):
+    """Two numeric columns landed as text, some of it no numbers: rows loaded and rejected with reasons."""
+    raw = testbed.trips_raw(spark, sf_dir)
+    riders = F.when(F.col("passenger_count") == 7, "n/a").otherwise(F.col("passenger_count").cast("int").cast("string"))
+    miles = F.when(F.col("trip_distance") >= 50, F.concat(F.col("trip_distance").cast("string"), F.lit(" km"))).otherwise(F.col("trip_distance").cast("string"))
+    drifted = raw.withColumns({"passenger_count": riders, "trip_distance": miles})
+    marked = lattice.with_rejects(drifted, SOURCE_TYPES).withColumn("pickup_month", F.trunc("tpep_pickup_datetime", "month"))
+    why = F.col("_reject_reason")
+    has = lambda c: F.coalesce(why.contains(f"{c}: "), F.lit(False))
+    return marked.groupBy("pickup_month").agg(
+        F.count("*").alias("landed"), F.count_if(why.isNull()).alias("loaded"), F.count(why).alias("rejected"),
+        F.count_if(has("passenger_count")).alias("bad_passenger_count"), F.count_if(has("trip_distance")).alias("bad_trip_distance"),
+        F.count_if(has("passenger_count") & has("trip_distance")).alias("bad_both"),
+    )
