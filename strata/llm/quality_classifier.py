@@ -107,25 +107,37 @@ def fit_curve(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return float(w[0] / scale), float(w[1])
 
 
-def _sample(known: DataFrame, label: int) -> DataFrame:
-    """(o, text, dictionary) of the sampled rows of a label, equal rows once.
+def _sample(docs: DataFrame, known: DataFrame) -> DataFrame:
+    """(label, o, text, dictionary) of the sampled rows of both labels, equal rows once; stored.
 
-    Rows are picked without their texts; then the bounded list of hashes fetches them.
+    Rows are picked by hash, without their texts; then the bounded list of hashes fetches them.
     """
-    mine = known.where(F.col("quality") == label).withColumn("o", F.xxhash64(F.col("doc_id").cast("string"), "text"))
-    picked = mine.select("o", "doc_id").distinct().orderBy("o", "doc_id").limit(SAMPLE_ROWS).collect()
-    rows = [(r["o"], r["doc_id"], i % 2 == 0) for i, r in enumerate(picked)]
-    wanted = known.sparkSession.createDataFrame(rows, "o long, doc_id long, dictionary boolean")
-    return mine.join(F.broadcast(wanted), ["o", "doc_id"]).dropDuplicates(["o", "doc_id"]).select("o", "text", "dictionary")
+    rows = []
+    for label in (0, 1):
+        picked = known.where(F.col("quality") == label).select("o", "doc_id").distinct().orderBy("o", "doc_id").limit(SAMPLE_ROWS).collect()
+        rows += [(label, r["o"], r["doc_id"], i % 2 == 0) for i, r in enumerate(picked)]
+    wanted = docs.sparkSession.createDataFrame(rows, "label int, o long, doc_id long, dictionary boolean")
+    found = docs.select("doc_id", "text", _order().alias("o")).join(F.broadcast(wanted), ["o", "doc_id"])
+    return store(found.dropDuplicates(["o", "doc_id"]).select("label", "o", "text", "dictionary"), "labelled")
 
 
-def learn(labelled: DataFrame) -> Model:
-    """A model from (doc_id, text, quality); pieces and differences of the sample come to the driver."""
-    known = labelled.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull())
+def _order() -> Column:
+    return F.xxhash64(F.col("doc_id").cast("string"), "text")
+
+
+def learn(docs: DataFrame, labels: DataFrame) -> Model:
+    """A model from ``docs`` (doc_id, text) and ``labels`` (doc_id, quality; a row a doc_id).
+
+    Pieces and differences of the sample are all that comes to the driver.
+    """
+    # Hashes meet the labels, not texts.
+    rows = docs.where(F.col("doc_id").isNotNull()).select("doc_id", _order().alias("o"))
+    known = rows.join(labels.where(F.col("quality").isin(0, 1)), "doc_id")
     share = known.agg(F.coalesce(F.avg(F.col("quality").cast("double")), F.lit(0.5)).alias("share")).first()["share"]
     share = min(max(share, 0.01), 0.99)
     base = math.log(share / (1 - share))
-    samples = [store(_sample(known, label), "labelled") for label in (0, 1)]
+    sample = _sample(docs, known)
+    samples = [sample.where(F.col("label") == label) for label in (0, 1)]
     try:
         bad, good = (zstandard.train_dictionary(DICT_BYTES, _pieces(s.where("dictionary"))).as_bytes() for s in samples)
     except (zstandard.ZstdError, ValueError):
@@ -170,7 +182,7 @@ def model_for(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Model:
     """Learnt from the labelled ``docs`` whose crc32(doc_id) mod 3 is not 1."""
     labels = table(spark, sf_dir, "labels").select("doc_id", "quality").where(fold("doc_id") != 1)
     one = labels.groupBy("doc_id").agg(F.min("quality").alias("quality"), F.max("quality").alias("other"))
-    return learn(docs.select("doc_id", "text").join(one.where("quality = other").drop("other"), "doc_id"))
+    return learn(docs.select("doc_id", "text"), one.where("quality = other").drop("other"))
 
 
 def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -267,7 +267,7 @@ def test_held_out_accuracy(spark):
 
 def test_classifier_without_labels_and_odd_texts(spark):
     df = spark.createDataFrame([(1, None, "c"), (2, "", "c"), (None, "x" * 5000, "c")], "doc_id long, text string, _score string")
-    model = learn(df.select("doc_id", "text", F.lit(None).cast("int").alias("quality")))
+    model = learn(df, df.select("doc_id", F.lit(None).cast("int").alias("quality")))
     got = score_quality(df, model)
     assert [round(r.score, 6) for r in got.collect()] == [0.5] * 3 and "_score" in got.columns
     assert score_quality(df.limit(0), Model(b"", b"", 0.0, 0.0)).count() == 0
@@ -304,7 +304,7 @@ def test_texts_are_learnt_from_as_a_whole(spark):
         head, tail = text_of(3000, ("head", i).__hash__(), 500), text_of(900, ("tail", i).__hash__(), 300).replace("w", "good" if good else "bad")
         rows.append((i, head + " " + tail, good))
     df = spark.createDataFrame(rows, "doc_id long, text string, quality int")
-    scored = score_quality(df.where("doc_id >= 160"), learn(df.where("doc_id < 160"))).collect()
+    scored = score_quality(df.where("doc_id >= 160"), learn(df.where("doc_id < 160"), df.select("doc_id", "quality"))).collect()
     assert sum((r.score >= 0.5) == bool(r.quality) for r in scored) >= 0.9 * len(scored)
 
 
