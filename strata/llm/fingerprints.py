@@ -98,18 +98,31 @@ def _densified(minima: Column) -> Column:
 
 
 def fingerprint(text: Column) -> Column:
-    """The packed fingerprint of a text; the empty string if it has no words."""
+    """The packed fingerprint of a text as base64; the empty string if it has no words."""
+    return _as_text(_packed(text))
+
+
+def _as_text(packed: Column) -> Column:
+    return F.translate(F.base64(packed), "\r\n", "")
+
+
+def _packed(text: Column) -> Column:
+    """The fingerprint as bytes."""
     low = F.lit((1 << BITS) - 1).cast("long")
 
     def pack(hashes: Column) -> Column:
         bins = F.transform(_densified(_minima(hashes)), lambda x, i: F.hex(F.xxhash64(x, i).bitwiseAND(low)))
-        return F.when(F.size(hashes) == 0, "").otherwise(F.translate(F.base64(F.unhex(F.array_join(bins, ""))), "\r\n", ""))
+        return F.when(F.size(hashes) == 0, F.lit(b"")).otherwise(F.unhex(F.array_join(bins, "")))
 
     return _let(shingle_hashes(text), pack)
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """Estimated share of shingles that two fingerprinted texts have in common, 0 to 1."""
+    """Estimated share of shingles that two texts have in common, 0 to 1, from their fingerprints."""
+    return _likeness(F.unbase64(a), F.unbase64(b))
+
+
+def _likeness(a: Column, b: Column) -> Column:
     per = 64 // BITS
     ones = F.lit(int("1" * per, 16))
 
@@ -126,10 +139,10 @@ def likeness(a: Column, b: Column) -> Column:
         return F.aggregate(F.transform(F.sequence(F.lit(0), F.lit(BINS // per - 1)), folded), F.lit(0), lambda s, c: s + c)
 
     chance = 1 / (1 << BITS)
-    off = _let(F.hex(F.unbase64(a)), lambda x: _let(F.hex(F.unbase64(b)), lambda y: differing(x, y)))
+    off = _let(F.hex(a), lambda x: _let(F.hex(b), lambda y: differing(x, y)))
     return (
         F.when(a == b, 1.0)
-        .when((a == "") | (b == ""), 0.0)
+        .when((F.octet_length(a) == 0) | (F.octet_length(b) == 0), 0.0)
         .otherwise(F.greatest(F.lit(0.0), (1 - off / BINS - chance) / (1 - chance)))
     )
 
@@ -155,11 +168,13 @@ def fingerprints(docs: DataFrame) -> DataFrame:
         "doc_id",
         digest.alias("digest"),
         F.char_length(text).cast("long").alias("n_chars"),
-        fingerprint(text).alias("mark"),
+        _packed(text).alias("mark"),
         F.monotonically_increasing_id().alias("tie"),
     )
-    near = likeness(F.col("mark"), F.col("next.mark")).alias("near_next")
-    links = _neighbours(marks).select("doc_id", "digest", "n_chars", F.col("mark").alias("fingerprint"), near, F.col("next.digest").alias("after"))
+    # Stored, because range partitioning reads its input twice: once to find the ranges.
+    marks = store(marks, "fingerprint-marks")
+    near = _likeness(F.col("mark"), F.col("next.mark")).alias("near_next")
+    links = _neighbours(marks).select("doc_id", "digest", "n_chars", "mark", near, F.col("next.digest").alias("after"))
     links = store(links, "fingerprint-links")
     body = docs.select(digest.alias("digest"), text.alias("whole"))
     if not links.where("digest = after").isEmpty():
@@ -168,9 +183,12 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     lent = links.join(body.select(F.col("digest").alias("after"), F.col("whole").alias("lender")), "after")
     lent = lent.withColumn("lent", F.substring("lender", F.lit(1), third)).drop("after", "lender")
     edited = F.concat(F.substring("whole", F.lit(1), (F.col("n_chars") - third).cast("int")), "lent")
-    out = lent.join(body, "digest").select("doc_id", "n_chars", "fingerprint", "near_next", edited.alias("edited_text"))
-    out = out.withColumn("edited_fingerprint", fingerprint(F.col("edited_text")))
-    return out.withColumn("near_edited", likeness(F.col("fingerprint"), F.col("edited_fingerprint")))
+    out = lent.join(body, "digest").select("doc_id", "n_chars", "mark", "near_next", edited.alias("edited_text"))
+    out = out.withColumn("edited_mark", _packed(F.col("edited_text")))
+    return out.select(
+        "doc_id", "n_chars", "edited_text", _as_text(F.col("mark")).alias("fingerprint"), _as_text(F.col("edited_mark")).alias("edited_fingerprint"),
+        _likeness(F.col("mark"), F.col("edited_mark")).alias("near_edited"), "near_next",
+    )
 
 
 def op12_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
