@@ -7,14 +7,14 @@ import uuid
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
-from strata.operators import asof, ingest, lattice
+from strata.operators import asof, facts, ingest, lattice, privacy, silver
 from strata.operators.quality import expectations as X
 from strata.operators.quality.history import KeyHistory, key_types
 from strata.ops import fingerprint, sketches
 from strata.plans import erasure
 from strata.plans import oracle as O
 from strata.plans.graph import run_graph
-from strata.plans.models import RunParams
+from strata.plans.models import RunParams, TripModels
 from strata.plans.monthly import Tables, land_months
 from strata.plans.q_ingest import _scd_sql_ctes, zone_history
 from strata.plans.q_ops import PROFILE_COLS, RUN_METADATA, _fingerprint_sql
@@ -159,15 +159,29 @@ def q_unique_against_history(spark, sf_dir):
 _NEW_SALT = "strata-salt-v2"
 
 
+def by_month(raw):
+    """Landed rows with a month's together, a large month in several tasks: few files of bounded size."""
+    return raw.withColumn("_m", F.trunc("tpep_pickup_datetime", "month")).hint("rebalance", "_m").drop("_m")
+
+
 def stored_tables(m, tables):
-    """The trip models of all months as the monthly run stores them, each table in one job."""
-    lookup = m.pii_lookup.withColumn("pickup_month", F.trunc("tpep_pickup_datetime", "month"))
-    for df, path in (
-        (lookup, tables.pii_lookup), (ingest.with_pickup_month(m.bronze), tables.bronze), (m.stg_trips, tables.stg_trips),
-        (m.fct_trips, tables.fct_trips), (m.fct_tokenization_audit, tables.fct_tokenization_audit),
-    ):
-        # A month's rows together, a large month in several tasks: few files of bounded size.
-        overwrite_partitions(df.hint("rebalance", "pickup_month"), path)
+    """The trip models of all months as the monthly run stores them, each table in one job.
+
+    The landed rows are shuffled once, by month and before tokens widen them; the later tables are
+    made from the stored ones, whose files hold a month each.
+    """
+
+    def stored(df, path):
+        overwrite_partitions(df, path)
+        return m.spark.read.schema(df.schema).parquet(path)
+
+    at = m.p.transformed_at
+    bronze = stored(ingest.with_pickup_month(TripModels(m.spark, by_month(m.raw), m.zone_seed, m.p).bronze), tables.bronze)
+    lookup = privacy.build_pii_lookup(bronze).withColumn("pickup_month", F.trunc("tpep_pickup_datetime", "month"))
+    stored(lookup.hint("rebalance", "pickup_month"), tables.pii_lookup)
+    stg = stored(silver.stg_trips(bronze, at, m.months), tables.stg_trips)
+    fct = stored(facts.fct_trips(stg, at), tables.fct_trips)
+    stored(facts.fct_tokenization_audit(fct, at).hint("rebalance", "pickup_month"), tables.fct_tokenization_audit)
     erasure.write_filters(m.spark, tables)
 
 
@@ -284,7 +298,7 @@ def q_run_graph(spark, sf_dir):
     root = scratch_path(spark, f"graph-{uuid.uuid4().hex}")
     raw = testbed.trips_raw(spark, sf_dir)
     month = F.trunc("tpep_pickup_datetime", "month")
-    land_months(raw.withColumn("_m", month).hint("rebalance", "_m").drop("_m"), f"{root}/landing", month)
+    land_months(by_month(raw), f"{root}/landing", month)
     landed = spark.read.parquet(f"{root}/landing").select("year", "month").distinct()
     months = [r[0] for r in landed.select(F.make_date(F.col("year").cast("int"), F.col("month").cast("int"), F.lit(1))).collect()]
     audit = run_graph(

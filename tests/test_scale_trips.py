@@ -34,3 +34,26 @@ def test_compaction_shuffles_no_rows(spark, tmp_dir):
     assert merged.rdd.getNumPartitions() == 1 and "Repartition 1, false" in optimized(merged)
     parts = t.rdd.getNumPartitions()
     assert files._merged(t, parts + 3).rdd.getNumPartitions() == parts + 3
+
+
+def spied(monkeypatch, module):
+    plans, write = {}, module.overwrite_partitions
+
+    def spy(df, path, *a, **k):
+        plans.setdefault(path.rsplit("/", 1)[-1], optimized(df))
+        return write(df, path, *a, **k)
+
+    monkeypatch.setattr(module, "overwrite_partitions", spy)
+    return plans
+
+
+def test_stored_trips_are_shuffled_before_tokens(spark, tmp_dir, monkeypatch):
+    from strata.plans import q_history
+    from strata.plans.models import TripModels
+    from strata.plans.monthly import Tables
+
+    plans = spied(monkeypatch, q_history)
+    q_history.stored_tables(TripModels.from_testbed(spark, SF0001), Tables(f"{tmp_dir}/tables"))
+    assert plans["bronze"].index("sha2(") < plans["bronze"].index("RebalancePartitions")  # the plan's root comes first
+    for name in ("stg_trips", "fct_trips"):
+        assert "Rebalance" not in plans[name] and "Join" not in plans[name]
