@@ -349,8 +349,9 @@ def q_incremental_fingerprint(spark, sf_dir):
     bronze = bronze_m(spark, sf_dir).drop(*RUN_METADATA)
     path, state = (scratch_path(spark, f"{name}-{uuid.uuid4().hex}") for name in ("fingerprinted", "file-hashes"))
     months = sorted(r[0] for r in bronze.select("pickup_month").distinct().collect())
-    first = bronze.where(F.col("pickup_month") != F.lit(months[0]))
-    overwrite_partitions(first.hint("rebalance", "pickup_month"), path)
+    m = models(spark, sf_dir)  # the landed rows are shuffled, not those that tokens have widened
+    dealt = ingest.with_pickup_month(TripModels(spark, by_month(m.raw), m.zone_seed, m.p).bronze).drop(*RUN_METADATA)
+    overwrite_partitions(dealt.where(F.col("pickup_month") != F.lit(months[0])), path)
     fingerprint.refresh(spark, path, state, "pickup_month", method="md5")
     odd = bronze.where((F.col("pickup_month") == F.lit(months[1])) & (F.col("PULocationID") % 2 == 1))
     overwrite_partitions(bronze.where(F.col("pickup_month") == F.lit(months[0])).unionByName(odd), path)

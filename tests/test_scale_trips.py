@@ -57,3 +57,12 @@ def test_stored_trips_are_shuffled_before_tokens(spark, tmp_dir, monkeypatch):
     assert plans["bronze"].index("sha2(") < plans["bronze"].index("RebalancePartitions")  # the plan's root comes first
     for name in ("stg_trips", "fct_trips"):
         assert "Rebalance" not in plans[name] and "Join" not in plans[name]
+
+
+def test_fingerprinted_rows_are_shuffled_before_tokens(spark, monkeypatch):
+    from strata.plans import q_history
+
+    plans = spied(monkeypatch, q_history)
+    q_history.q_incremental_fingerprint(spark, SF0001)
+    first = next(iter(plans.values()))
+    assert first.index("sha2(") < first.index("RebalancePartitions")
