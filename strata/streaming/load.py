@@ -38,8 +38,9 @@ def bronze_loader(bronze_path: str, ledger_path: str, to_bronze: Callable[[DataF
     def load(batch: DataFrame, epoch: int) -> None:
         spark = batch.sparkSession
         rows = to_bronze(batch).withColumn("file_id", F.md5(file_col))
-        # A file's rows of a month in one task each; large files are split by AQE.
-        write(rows.hint("rebalance", "pickup_month", "file_id"), bronze_path, "pickup_month", "file_id")
+        # A task reads whole files or a split of a large one, so its rows fall into few (month, file)
+        # partitions as they are: no shuffle.
+        write(rows, bronze_path, "pickup_month", "file_id")
         now = rows.groupBy(F.col(file_col).alias("file"), "pickup_month", "file_id").agg(F.count("*").alias("rows")).checkpoint(eager=True)
         before = ledger(spark, ledger_path).join(now.select("file_id").distinct(), "file_id", "left_semi")
         gone = before.join(now.select("file_id", "pickup_month"), ["file_id", "pickup_month"], "left_anti")

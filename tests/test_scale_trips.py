@@ -66,3 +66,13 @@ def test_fingerprinted_rows_are_shuffled_before_tokens(spark, monkeypatch):
     q_history.q_incremental_fingerprint(spark, SF0001)
     first = next(iter(plans.values()))
     assert first.index("sha2(") < first.index("RebalancePartitions")
+
+
+def test_incremental_load_does_not_shuffle_the_batch(spark, tmp_dir, monkeypatch):
+    from strata.streaming.load import bronze_loader, ledger
+
+    batch = spark.createDataFrame([("f", dt.date(2023, 1, 1), 1), ("f", dt.date(2023, 2, 1), 2), ("g", None, 3)], "_file string, pickup_month date, x int")
+    monkeypatch.setattr(type(batch), "hint", lambda *a: pytest.fail("the batch is dealt anew"))
+    bronze_loader(f"{tmp_dir}/b", f"{tmp_dir}/l", lambda b: b)(batch, 0)
+    assert spark.read.parquet(f"{tmp_dir}/b").agg(F.sum("x")).first()[0] == 6
+    assert ledger(spark, f"{tmp_dir}/l").count() == 3
