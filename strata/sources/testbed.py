@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.schemas import AUDIT_SCHEMA, RAW_FIELDS, RAW_SCHEMA  # noqa: F401
+from strata.sizing import bounded_broadcast
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents "
@@ -56,15 +57,12 @@ def trips_from_lineitem(spark: SparkSession, sf_dir: str, lineitem: DataFrame) -
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-    # Line items and orders are both fact-sized: join them as a sort-merge join on the
-    # order key (the plan they get at any scale), which also spreads the work after the
-    # join over the shuffle partitions even when a file is one row group. Customer and
-    # supplier are left to the planner (broadcast when their statistics are small).
-    j = (
-        li.join(o.hint("merge"), li.l_orderkey == o.o_orderkey)
-        .join(c, F.col("o_custkey") == c.c_custkey)
-        .join(s, F.col("l_suppkey") == s.s_suppkey)
-    )
+    # Customers meet the orders, not the line items, so a shuffle by customer moves an order once
+    # and no line item; suppliers are broadcast after a size check. Line items and orders are both
+    # fact-sized: a sort-merge join on the order key (the plan they get at any scale) is the one
+    # shuffle of the line items, and spreads the work after it even when a file is one row group.
+    o = o.join(c, o.o_custkey == c.c_custkey).select("o_orderkey", "o_orderdate", "o_orderpriority", "c_nationkey")
+    j = li.join(o.hint("merge"), li.l_orderkey == o.o_orderkey).join(bounded_broadcast(s), F.col("l_suppkey") == s.s_suppkey)
     pickup = F.col("o_orderdate").cast("timestamp")
     # Money is kept in whole cents, like real fares: products are computed in exact
     # decimal arithmetic and rounded half-up to cents before landing as DOUBLE.

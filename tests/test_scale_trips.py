@@ -16,6 +16,32 @@ def optimized(df):
     return df._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_line_items_are_shuffled_once(spark):
+    was = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = testbed.trips_raw(spark, SF0001)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
+    keys = sorted(re.findall(r"Exchange hashpartitioning\((\w+)#", plan))
+    assert keys == ["c_custkey", "l_orderkey", "o_custkey", "o_orderkey"]
+
+
+def test_repeated_and_null_keys_join_as_before(spark, tmp_dir):
+    def put(name, rows):
+        spark.createDataFrame(rows, testbed.SCHEMAS[name]).write.parquet(f"{tmp_dir}/{name}.parquet")
+
+    day = dt.datetime(1997, 3, 1)
+    put("lineitem", [(k, 1, s, 1, 1.0, 10.0, 0.1, 0.1, "N", "O", day) for k, s in ((1, 7), (1, 8), (2, 7), (3, 7), (None, 7), (1, None))])
+    put("orders", [(1, 5, "O", 1.0, day, "1-URGENT"), (2, 5, "O", 1.0, day, "2-HIGH"), (2, 6, "O", 1.0, day, "3-LOW"), (3, None, "O", 1.0, day, "1-URGENT")])
+    put("customer", [(5, "a", 1, 1.0, "x"), (5, "b", 2, 1.0, "x"), (6, "c", 3, 1.0, "x")])
+    put("supplier", [(7, "s", 1, 1.0), (7, "t", 2, 1.0)])
+    got = testbed.trips_raw(spark, tmp_dir).groupBy("PULocationID", "DOLocationID", "payment_type").count().collect()
+    # order 1: supplier 7 twice x customer 5 twice; order 2: the same, and customer 6; order 3 has no customer.
+    want = {(p, d, t): 1 for p in (2, 3) for d, t in ((2, 0), (3, 0), (2, 1), (3, 1), (4, 2))}
+    assert {tuple(r)[:3]: r["count"] for r in got} == want
+
+
 def test_landing_tasks_of_the_compaction_grow_with_the_rows(spark, monkeypatch):
     from strata.plans import q_ops
 
