@@ -28,11 +28,19 @@ def fake_email(seed: Column) -> Column:
     return F.concat(F.lit("user_"), F.substring(F.md5(seed), 1, 8), F.lit("@example.com"))
 
 
-def fake_phone(seed: Column) -> Column:
-    d = _digits(F.md5(F.concat(F.lit("phone"), seed)), 10)
+def phone_digits(seed: Column) -> Column:
+    return _digits(F.md5(F.concat(F.lit("phone"), seed)), 10)
+
+
+def phone_of(d: Column) -> Column:
+    """A phone number of its ten digits; ``d`` is used three times."""
     return F.concat_ws("-", F.substring(d, 1, 3), F.substring(d, 4, 3), F.substring(d, 7, 4))
 
 
+def fake_phone(seed: Column) -> Column:
+    return phone_of(phone_digits(seed))
+
+
 def fake_card_last4(seed: Column) -> Column:
     return _digits(F.md5(F.concat(F.lit("card"), seed)), 4)
 

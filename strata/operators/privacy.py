@@ -10,6 +10,8 @@ from strata.functions.privacy import (
     fake_email,
     fake_passenger_id,
     fake_phone,
+    phone_digits,
+    phone_of,
     pii_seed,
     token,
 )
@@ -86,15 +88,20 @@ def tokenize_with_fresh_lookup(bronze: DataFrame, salt: str, salt_version: int)
     stale = [c for c in (*TOKEN_COLUMNS, "_salt_version") if c in bronze.columns]
     base = bronze.drop(*stale)
     has_key = F.col("VendorID").isNotNull() & F.col("tpep_pickup_datetime").isNotNull()
-    seed = pii_seed(F.col("VendorID").cast("int"), F.col("tpep_pickup_datetime"))
+    # The seed and the phone's digits are columns of their own: inside the conditional tokens
+    # they would be computed anew for every use.
+    seeded = base.withColumn("_pii_seed", pii_seed(F.col("VendorID").cast("int"), F.col("tpep_pickup_datetime")))
+    seed = F.col("_pii_seed")
+    seeded = seeded.withColumn("_phone_digits", phone_digits(seed))
     pii = {
         "passenger_email": fake_email(seed),
-        "passenger_phone": fake_phone(seed),
+        "passenger_phone": phone_of(F.col("_phone_digits")),
         "payment_card_last4": fake_card_last4(seed),
         "passenger_id": fake_passenger_id(seed),
     }
     tokens = {tok: F.when(has_key, token(pii[raw], salt)) for raw, tok in zip(PII_COLUMNS, TOKEN_COLUMNS)}
-    return base.withColumns({**tokens, "_salt_version": F.lit(salt_version).cast("int")})
+    out = seeded.withColumns({**tokens, "_salt_version": F.lit(salt_version).cast("int")})
+    return out.drop("_pii_seed", "_phone_digits")
 
 
 def rotate_salt(bronze: DataFrame, lookup: DataFrame, new_salt: str, new_version: int) -> DataFrame:

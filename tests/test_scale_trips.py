@@ -42,6 +42,18 @@ def test_repeated_and_null_keys_join_as_before(spark, tmp_dir):
     assert {tuple(r)[:3]: r["count"] for r in got} == want
 
 
+def test_token_seed_is_computed_once_a_row(spark):
+    t = dt.datetime(2023, 1, 15, 8, 0)
+    b = spark.createDataFrame([(2, t), (None, t), (1, None)], "VendorID int, tpep_pickup_datetime timestamp")
+    fresh = privacy.tokenize_with_fresh_lookup(b, "s", 1)
+    assert optimized(fresh).count("cast(tpep_pickup_datetime#") <= 1  # folded into literals for local rows, or one cast
+    stored = b.repartition(2)
+    assert optimized(privacy.tokenize_with_fresh_lookup(stored, "s", 1)).count(" AS _pii_seed#") == 1
+    joined = privacy.tokenize_bronze(b, privacy.build_pii_lookup(b), "s", 1)
+    assert fresh.columns == [*b.columns, *[c for c in joined.columns if c not in b.columns]]
+    assert sorted(map(str, fresh.select(*joined.columns).collect())) == sorted(map(str, joined.collect()))
+
+
 def test_landing_tasks_of_the_compaction_grow_with_the_rows(spark, monkeypatch):
     from strata.plans import q_ops
 
