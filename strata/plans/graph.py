@@ -27,6 +27,8 @@ from strata.sinks.writers import overwrite_months, overwrite_partitions, replace
 from strata.sizing import bounded_broadcast
 from strata.sources.landing import build_manifest, read_landing
 
+#: Keys of a PII lookup whose tokens (some 350 bytes a key) stay under the limit for broadcasts.
+LOOKUP_BROADCAST_ROWS = 150_000
 SNAPSHOT_COLUMNS = ["borough", "zone_name", "service_zone"]
 
 
@@ -113,7 +115,9 @@ def run_graph(
         overwrite_months(privacy.build_pii_lookup(keep).withColumn(PM, F.trunc("tpep_pickup_datetime", "month")), tables.pii_lookup, months)
         lookup = stored("pii_lookup")
         overwrite_partitions(subjects.month_filters(lookup), tables.pii_filters, PM, months)
-        bronze = privacy.tokenize_bronze(keep, lookup.drop(PM), params.salt, params.salt_version)
+        # A lookup that is small by its stored row count goes to the rows; a large one meets them in a shuffle.
+        small = LOOKUP_BROADCAST_ROWS if lookup.count() <= LOOKUP_BROADCAST_ROWS else None
+        bronze = privacy.tokenize_bronze(keep, lookup.drop(PM), params.salt, params.salt_version, small)
         rows = overwrite_months(bronze, tables.bronze, months)
         _delete(spark, stage)
         for m in months:

@@ -114,3 +114,24 @@ def test_incremental_load_does_not_shuffle_the_batch(spark, tmp_dir, monkeypatch
     bronze_loader(f"{tmp_dir}/b", f"{tmp_dir}/l", lambda b: b)(batch, 0)
     assert spark.read.parquet(f"{tmp_dir}/b").agg(F.sum("x")).first()[0] == 6
     assert ledger(spark, f"{tmp_dir}/l").count() == 3
+
+
+def test_small_lookup_is_broadcast_in_the_whole_run(spark, tmp_dir, monkeypatch):
+    from strata.plans import graph
+    from strata.plans.monthly import Tables, land_months
+
+    class Seen(Exception):
+        pass
+
+    def tokens(keep, lookup, salt, version, broadcast_rows=None):
+        raise Seen(broadcast_rows)
+
+    month = dt.date(1997, 1, 1)
+    raw = testbed.trips_raw(spark, SF0001).where("trunc(tpep_pickup_datetime, 'month') = DATE '1997-01-01'")
+    land_months(raw, f"{tmp_dir}/landing", F.trunc("tpep_pickup_datetime", "month"))
+    monkeypatch.setattr(graph.privacy, "tokenize_bronze", tokens)
+    for most, want in ((10**6, 10**6), (1, None)):
+        monkeypatch.setattr(graph, "LOOKUP_BROADCAST_ROWS", most)
+        with pytest.raises(Seen) as e:
+            graph.run_graph(spark, Tables(f"{tmp_dir}/t{most}"), f"{tmp_dir}/landing", [month], testbed.zone_seed(spark, SF0001))
+        assert e.value.args == (want,)
